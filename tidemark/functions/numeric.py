@@ -16,7 +16,11 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
 
 
 def ratio_pct(numerator: Column, denominator: Column, places: int = 2) -> Column:
-    """A ratio of exact numbers as a percentage, rounded half away from zero."""
+    """A ratio of exact numbers as a percentage, rounded half away from zero.
+
+    Decimal division gives up fraction digits when the operands are declared wide, and a
+    quotient that was cut at 6 digits may round wrongly: pass operands of about 20 digits.
+    """
     return F.round(safe_divide(numerator, denominator) * F.lit(100), places)
 
 

@@ -20,6 +20,9 @@ FACTORS = (
 )
 WHISKER = 1.5
 
+# A change that lies on a fence must count as inside, whatever the order of the arithmetic.
+FENCE_PLACES = 9
+
 
 def master_merge(gold: Gold) -> DataFrame:
     """Prices with the news and insider activity of the same ticker and day.
@@ -170,7 +173,12 @@ def _fences(counts: DataFrame) -> DataFrame:
             F.col("_q")[1].alias("median"),
             F.col("_q")[2].alias("q3"),
         )
-        .withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
+        .withColumns(
+            {
+                "low_fence": F.round(F.col("q1") - reach, FENCE_PLACES),
+                "high_fence": F.round(F.col("q3") + reach, FENCE_PLACES),
+            }
+        )
     )
 
 

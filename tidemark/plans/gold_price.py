@@ -46,6 +46,10 @@ def price_indicators(silver_stocks: DataFrame, chunk_days: int = CHUNK_DAYS) ->
     low5, high5 = F.col("min_5d_close_price"), F.col("max_5d_close_price")
     close_sum, close_count = F.col("_close_sum"), F.col("_close_count")
     average = safe_divide(close_sum, close_count)
+    # (close - average) / average, in terms of the sum. The narrow types leave the quotient
+    # enough digits to be rounded only once.
+    total = close_sum.cast("decimal(19,4)")
+    above_average = close * close_count.cast("decimal(1,0)") - total
     volume_average = safe_divide(
         F.col("_volume_sum").cast("decimal(20,0)"), F.col("_volume_count")
     )
@@ -70,7 +74,6 @@ def price_indicators(silver_stocks: DataFrame, chunk_days: int = CHUNK_DAYS) ->
         ratio_pct(close - low5, high5 - low5).alias("price_percentile_5d"),
         F.round("_close_deviation", 2).alias("stddev_5d_close_price"),
         F.round(close - average, 2).alias("distance_from_ma5"),
-        # (close - sum/count) / (sum/count) without the rounded average in between
-        ratio_pct(close * close_count - close_sum, close_sum).alias("distance_pct_from_ma5"),
+        ratio_pct(above_average, total).alias("distance_pct_from_ma5"),
         F.coalesce(sign_flag(close - before), F.lit(0)).alias("price_direction_1d"),
     )
