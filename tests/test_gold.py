@@ -1,0 +1,289 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from tidemark.plans import analysis, quality, silver
+from tidemark.plans.gold import Gold
+from tidemark.plans.gold_insider import daily_insider, insider_signals
+from tidemark.plans.gold_news import news_signals
+from tidemark.plans.gold_price import price_indicators
+
+D = dt.date
+
+
+def trades(rows, data):
+    return rows(
+        [
+            (f"h{i}", s, n, abs(c or 0), c, None, d, None if p is None else Decimal(p), "S")
+            for i, (s, n, c, d, p) in enumerate(data)
+        ],
+        "insider_transactions_hash string, symbol string, name string, share bigint, change bigint, "
+        "filing_date date, transaction_date date, transaction_price decimal(18,4), transaction_code string",
+    )
+
+
+def articles(rows, data):
+    return rows(
+        [(f"h{i}", "c", t, "t", "d", "u", s, p) for i, (t, s, p) in enumerate(data)],
+        "hash_news string, company string, ticket string, news_titel string, news_description string, "
+        "news_url string, news_sentiment string, published_at timestamp_ntz",
+    )
+
+
+def test_insider_day_totals(rows):
+    day = D(2024, 1, 2)
+    got = daily_insider(
+        trades(
+            rows,
+            [
+                ("M", "Ann", 10, day, "2.50"),
+                ("M", "Ann", -4, day, "3.00"),
+                ("M", None, 0, day, "9.99"),
+                ("M", "Bob", None, day, "1.00"),
+                ("M", "Cid", 5, day, None),
+            ],
+        )
+    ).head()
+    assert got.distinct_insiders_active == 3
+    assert got.total_shares_bought == 15
+    assert got.total_shares_sold == -4
+    assert got.net_shares_flow == 11
+    assert got.total_value_bought == 25
+    assert got.total_value_sold == -12
+    assert got.net_value_flow == 13
+    assert got.total_transactions_count == 5
+    assert got.total_shares_bought + got.total_shares_sold == got.net_shares_flow
+
+
+def test_insider_gaps_of_three_and_four_days(rows):
+    days = [D(2024, 1, 1), D(2024, 1, 4), D(2024, 1, 8)]
+    got = sorted(
+        insider_signals(trades(rows, [("M", "A", 1, d, "1") for d in days])).collect(),
+        key=lambda r: r.transaction_date,
+    )
+    assert [r.days_since_last_activity for r in got] == [None, 3, 4]
+    assert [r.is_activity_cluster for r in got] == [0, 1, 0]
+    assert [r.previous_activity_date for r in got] == [None, *days[:2]]
+
+
+def test_insider_frames(rows):
+    changes = [5, -20, 3, 4, 8, 100, -100]
+    data = [("M", "A", c, D(2024, 1, 1 + i), "1") for i, c in enumerate(changes)]
+    got = sorted(insider_signals(trades(rows, data)).collect(), key=lambda r: r.transaction_date)
+    sums = [sum(changes[max(0, i - 4) : i + 1]) for i in range(7)]
+    assert [r.rolling_5_day_net_shares_flow for r in got] == sums
+    assert [r.rolling_5_day_sentiment for r in got] == [(s > 0) - (s < 0) for s in sums]
+    assert [r.cumulative_net_shares_flow for r in got] == [sum(changes[: i + 1]) for i in range(7)]
+    assert got[-1].cumulative_transaction_count == 7
+    assert got[1].rolling_5_day_avg_net_shares == Decimal("-7.5")
+    assert got[1].change_in_net_shares_flow == -25
+
+
+def test_news_off_list_labels_count_in_no_bucket(rows):
+    at = dt.datetime(2024, 1, 1, 23, 59)
+    got = news_signals(
+        articles(rows, [("M", s, at) for s in ("good", "good", "bad", "neutral", "mixed", None)])
+    ).head()
+    assert got.daily_news_count == 6
+    assert (
+        got.daily_good_news_count, got.daily_bad_news_count, got.daily_neutral_news_count
+    ) == (2, 1, 1)
+    assert got.daily_good_news_pct == Decimal("33.33")
+    assert got.daily_bad_news_pct == Decimal("16.67")
+    assert got.daily_sentiment_score == 1
+    assert got.news_date == D(2024, 1, 1)
+
+
+def test_news_rolls_over_rows_with_news_not_over_days(rows):
+    days = [dt.datetime(2024, m, 1) for m in range(1, 8)]
+    got = sorted(
+        news_signals(articles(rows, [("M", "bad", d) for d in days])).collect(),
+        key=lambda r: r.news_date,
+    )
+    assert [r.rolling_5d_news_count for r in got] == [1, 2, 3, 4, 5, 5, 5]
+    assert got[-1].rolling_5d_sentiment_score == -5
+
+
+def test_unmatched_news_form_their_own_group(rows):
+    at = dt.datetime(2024, 1, 1)
+    got = news_signals(articles(rows, [(None, "good", at), (None, "bad", at), ("M", "good", at)]))
+    assert {(r.ticket, r.daily_news_count) for r in got.collect()} == {(None, 2), ("M", 1)}
+
+
+@pytest.fixture
+def bronze_news(rows):
+    at = dt.datetime(2024, 1, 1)
+    return rows(
+        [
+            ("1", "Meta", "t", "d", "u", at, "good"),
+            ("2", "META", "t", "d", "u", at, "bad"),
+            ("3", "Nobody", "t", "d", "u", at, "bad"),
+            ("4", "Meta", "t", None, "u", at, "bad"),
+            ("5", "Twice", "t", "d", "u", at, "bad"),
+        ],
+        "hash string, company string, title string, description string, url string, "
+        "published_at timestamp_ntz, sentiment string",
+    )
+
+
+def test_silver_news_join(rows, bronze_news):
+    names = rows(
+        [("meta", "mEtA"), ("tw", "Twice"), ("tx", "TWICE")], "ticket string, company string"
+    )
+    got = silver.news(bronze_news, names)
+    assert sorted((r.hash_news, r.ticket) for r in got.filter("ticket is not null").collect()) == [
+        ("1", "META"), ("2", "META"), ("5", "TW"), ("5", "TX"),
+    ]
+    assert [r.hash_news for r in got.filter("ticket is null").collect()] == ["3"]
+
+
+def test_silver_stocks_casts(rows):
+    bronze = rows(
+        [("h", "meta", dt.datetime(2024, 1, 2, 15), 1.25, 2.0, 0.5, 1.0, 2.5)],
+        "hash string, ticket string, date timestamp_ntz, close double, high double, low double, "
+        "open double, volume double",
+    )
+    got = silver.stocks(bronze).head()
+    assert (got.ticket, got.trading_date, got.trade_volume) == ("META", D(2024, 1, 2), 3)
+    assert got.close_price == Decimal("1.2500")
+    assert "updated_at" in silver.stamped(silver.stocks(bronze)).columns
+
+
+@pytest.fixture
+def gold(rows):
+    closes = [("A", i, c) for i, c in enumerate([10, 11, 12, 9, 9, 30])] + [("B", 0, 5), ("B", 1, 5)]
+    prices = rows(
+        [
+            (t, D(2024, 1, 1) + dt.timedelta(days=i), f"{t}{i}", Decimal(c), Decimal(c), 100 * (i + 1))
+            for t, i, c in closes
+        ],
+        "ticket string, trading_date date, stock_hash string, close_price decimal(18,4), "
+        "low_price decimal(18,4), trade_volume bigint",
+    )
+    news = articles(
+        rows,
+        [
+            ("A", "good", dt.datetime(2024, 1, 2, 5)),
+            ("A", "bad", dt.datetime(2024, 1, 3, 5)),
+            ("A", "bad", dt.datetime(2024, 1, 3, 6)),
+            ("A", "good", dt.datetime(2024, 2, 1)),
+            (None, "good", dt.datetime(2024, 1, 2)),
+        ],
+    )
+    insider = trades(
+        rows,
+        [
+            ("A", "Ann", 10, D(2024, 1, 2), "2"),
+            ("A", "Bob", -30, D(2024, 1, 2), "2"),
+            ("B", "Cid", 0, D(2024, 1, 1), "2"),
+            ("B", "Cid", -7, D(2024, 3, 1), "2"),
+        ],
+    )
+    return Gold(price_indicators(prices), news_signals(news), insider_signals(insider))
+
+
+def test_master_merge(gold):
+    got = {(r.ticket, r.trading_date.day): r for r in analysis.master_merge(gold).collect()}
+    assert len(got) == 8
+    assert got["A", 2].daily_sentiment_score == 1
+    assert got["A", 2].net_value_flow == -40
+    assert got["A", 3].sentiment_intensity == 2
+    assert got["A", 4].daily_sentiment_score == 0
+    assert got["A", 4].daily_news_count is None
+    assert got["B", 2].net_value_flow == 0
+    assert got["B", 2].net_shares_flow is None
+
+
+def test_target_ticker(rows):
+    many = rows([("A",), ("B",), ("B",), ("A",), (None,), (None,), (None,)], "ticket string")
+    assert analysis.target_ticker(many).collect()[0].ticket == "A"
+    assert analysis.target_ticker(many, "B").collect()[0].ticket == "B"
+
+
+def test_flow_side_counts_zero_as_sell(gold):
+    got = analysis.price_and_insider(analysis.master_merge(gold)).collect()
+    assert {r.flow_side for r in got} == {"Sell"}
+    assert analysis.price_and_sentiment(analysis.master_merge(gold)).count() == 8
+
+
+def test_correlation_matrix_matches_pandas(gold):
+    master = analysis.master_merge(gold).filter("ticket = 'A'")
+    expected = master.select(*analysis.FACTORS).toPandas().astype(float).corr()
+    got = {(r.factor_x, r.factor_y): r.r for r in analysis.correlation_matrix(master).collect()}
+    assert len(got) == 25
+    for (x, y), r in got.items():
+        assert r == pytest.approx(expected.loc[x, y], abs=1e-6)
+
+
+def test_correlation_with_a_constant_is_null(gold):
+    master = analysis.master_merge(gold).filter("ticket = 'B'")
+    assert {r.r for r in analysis.correlation_matrix(master).collect()} == {None}
+
+
+def test_insider_datasets(gold):
+    totals = {r.ticket: r for r in analysis.insider_totals(gold.insider).collect()}
+    assert (totals["A"].total_shares_bought, totals["A"].total_shares_sold_abs) == (10, 30)
+    ratios = {r.ticket: r.sell_buy_ratio for r in analysis.sell_buy_ratio(gold.insider).collect()}
+    assert ratios == {"A": Decimal("3.0000"), "B": None}
+    assert [(r.symbol, r.net_shares_flow) for r in analysis.contrarian_buys(gold.insider).collect()] == [
+        ("A", -20)
+    ]
+
+
+def test_box_statistics_match_numpy(rows):
+    import numpy as np
+
+    values = [-9.5, 0.1, 0.2, 0.25, 0.3, 0.3, 0.45, 0.5, 4.75, 12.0]
+    master = rows(
+        [("A", D(2024, 1, 1 + i), 0, Decimal(str(v))) for i, v in enumerate(values)]
+        + [("A", D(2024, 2, 1), 3, Decimal("2.00")), ("A", D(2024, 2, 2), 3, None)],
+        "ticket string, trading_date date, sentiment_intensity bigint, price_change_pct_1d decimal(20,2)",
+    )
+    q1, med, q3 = np.percentile(values, [25, 50, 75])
+    low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    inside = [v for v in values if low <= v <= high]
+    got = {r.sentiment_intensity: r for r in analysis.box_stats(master).collect()}
+    assert (got[0].q1, got[0].median, got[0].q3) == pytest.approx((q1, med, q3))
+    assert (got[0].whisker_low, got[0].whisker_high) == (min(inside), max(inside))
+    assert got[0].outlier_count == len(values) - len(inside)
+    assert (got[3].row_count, got[3].q1, got[3].whisker_high) == (1, 2.0, 2.0)
+    outliers = sorted(float(r.price_change_pct_1d) for r in analysis.box_outliers(master).collect())
+    assert outliers == sorted(v for v in values if not low <= v <= high)
+
+
+def test_hype_scatter_and_dispersion(gold):
+    master = analysis.master_merge(gold)
+    assert analysis.news_volume_points(master).count() == 2
+    hype = {(r.scope, r.ticket): r for r in analysis.hype_correlation(master).collect()}
+    assert hype["overall", None].r == hype["ticker", "A"].r == 1.0
+    spread = {r.sentiment_intensity: r for r in analysis.dispersion_by_intensity(master).collect()}
+    assert spread[1].change_stddev is None
+    assert spread[1].row_count == 1
+
+
+def test_quality_checks_report_failures(gold, rows):
+    broken = Gold(
+        price=gold.price.unionByName(gold.price.filter("ticket = 'B'")),
+        news=gold.news,
+        insider=gold.insider.selectExpr(
+            "* except (is_activity_cluster)", "case when symbol = 'A' then 7 end as is_activity_cluster"
+        ),
+    )
+    duplicates = quality.check_unique(broken).collect()
+    assert {(r.table_name, r.key_text, r.row_count) for r in duplicates} == {
+        ("stock_transations", "B-2024-01-01", 2),
+        ("stock_transations", "B-2024-01-02", 2),
+    }
+    assert [(r.table_name, r.key_date) for r in quality.check_null_keys(broken).collect()] == [
+        ("stock_news", D(2024, 1, 2))
+    ]
+    nulls = {(r.table_name, r.column_name): r.failures for r in quality.check_null_columns(broken).collect()}
+    assert nulls["stock_news", "ticket"] == 1
+    assert sum(nulls.values()) == 1
+    values = {r.column_name: r.failures for r in quality.check_accepted_values(broken).collect()}
+    assert values == {
+        "rolling_5_day_sentiment": 0, "is_activity_cluster": 1, "price_direction_1d": 0,
+    }
