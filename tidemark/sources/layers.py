@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,9 +41,13 @@ class Layers:
         return f"{self.root}/{layer}/{table}"
 
     def exists(self, layer: str, table: str) -> bool:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        return jvm_path.getFileSystem(conf).exists(jvm_path)
+        try:
+            self.read(layer, table)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
+        return True
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
@@ -84,9 +89,12 @@ class Layers:
         if strict:
             first = require_clean(first, table.constraints)
         else:
-            first, bad = quarantine_split(first, table.constraints)
-            bad.write.mode("append").parquet(self.path("bronze", f"{table.name}_rejected"))
-            rejected = bad
+            first, rejected = quarantine_split(first, table.constraints)
+            rejects = f"{table.name}_rejected"
+            fresh = rejected
+            if self.exists("bronze", rejects):
+                fresh = not_yet_stored(rejected, self.read("bronze", rejects), table.key)
+            fresh.write.mode("append").parquet(self.path("bronze", rejects))
         if self.exists("bronze", table.name):
             # At most one value per calendar month of the batch.
             months = [r[0] for r in first.select(MONTH).distinct().collect()]
