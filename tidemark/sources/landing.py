@@ -18,6 +18,19 @@ STATUS_OK = "ok"
 
 CORRUPT = "_corrupt_record"
 
+# Columns that order landed rows: when and where the file landed, then the place in it.
+LANDED, POSITION = "landed", "position"
+LANDED_TYPE = "struct<at:timestamp,file:string,block:bigint>"
+
+
+def _landed() -> Column:
+    file = F.col("_metadata")
+    return F.struct(
+        file["file_modification_time"].alias("at"),
+        file["file_path"].alias("file"),
+        file["file_block_start"].alias("block"),
+    )
+
 
 def read_bars(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
     """Landed daily bars. One frame per path; a field that a file set lacks becomes NULL."""
@@ -26,10 +39,14 @@ def read_bars(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -
         reader = reader.option("header", True).option("enforceSchema", False)
     if fmt in ("csv", "json"):
         reader = reader.schema(schemas.LANDED_BARS)
-    return bars_scan(append_frames([reader.load(p) for p in paths], schemas.LANDED_BARS, spark))
+    frames = [reader.load(p).withColumn(LANDED, _landed()) for p in paths]
+    if not frames:
+        nothing = spark.createDataFrame([], schemas.LANDED_BARS)
+        return nothing.withColumn(LANDED, F.lit(None).cast(LANDED_TYPE))
+    return bars_scan(append_frames(frames, schemas.LANDED_BARS, spark), keep=(LANDED,))
 
 
-def bars_scan(df: DataFrame) -> DataFrame:
+def bars_scan(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Ticker and date first, then the bar's fields with their landed types."""
     return df.select(
         *[
@@ -37,7 +54,8 @@ def bars_scan(df: DataFrame) -> DataFrame:
             if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schemas.LANDED_BARS
-        ]
+        ],
+        *keep,
     )
 
 
@@ -87,31 +105,46 @@ def split_payloads(
     return judged.filter("outcome = 'good'").drop("outcome"), judged.filter("outcome <> 'good'")
 
 
-def flatten_news(df: DataFrame, payload: str = "payload", company: str = "company") -> DataFrame:
-    """One row per article of the payloads with status ok, tagged with the asked-for company."""
+def flatten_news(
+    df: DataFrame, payload: str = "payload", company: str = "company", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per article of the payloads with status ok, tagged with the asked-for company.
+
+    ``keep`` names columns of the payload's row, and may name ``position``: the article's place.
+    """
+    # The status test stays inside the explode: as a filter it would be pushed below the
+    # projection that makes the payload, and the payload would be made and parsed twice.
     doc = F.from_json(F.col(payload), schemas.NEWS_PAYLOAD)
-    return (
-        df.select(F.col(company).alias("company"), doc.alias("_doc"))
-        .filter(F.col("_doc.status") == STATUS_OK)
-        .select("company", F.explode("_doc.articles").alias("_article"))
-        .select("_article.url", "company", "_article.publishedAt", "_article.title", "_article.description")
+    usable = F.when(doc["status"] == STATUS_OK, doc["articles"])
+    return _exploded(df, usable, F.col(company).alias("company"), keep).select(
+        "_item.url", "company", "_item.publishedAt", "_item.title", "_item.description", *keep
     )
 
 
-def flatten_insider(df: DataFrame, payload: str = "payload", symbol: str = "symbol") -> DataFrame:
+def flatten_insider(
+    df: DataFrame, payload: str = "payload", symbol: str = "symbol", keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per record of the payloads' ``data``; the asked-for symbol replaces the record's."""
-    doc = F.from_json(F.col(payload), schemas.INSIDER_PAYLOAD)
+    records = F.from_json(F.col(payload), schemas.INSIDER_PAYLOAD)["data"]
     own = [f.name for f in schemas.INSIDER_RECORD if f.name != "symbol"]
-    return df.select(F.col(symbol).alias("symbol"), F.explode(doc["data"]).alias("_record")).select(
-        "symbol", *[f"_record.{name}" for name in own]
+    return _exploded(df, records, F.col(symbol).alias("symbol"), keep).select(
+        "symbol", *[f"_item.{name}" for name in own], *keep
     )
 
 
+def _exploded(df: DataFrame, items: Column, tag: Column, keep: Sequence[str]) -> DataFrame:
+    carried = [c for c in keep if c != POSITION]
+    if POSITION in keep:
+        return df.select(tag, *carried, F.posexplode(items).alias(POSITION, "_item"))
+    return df.select(tag, *carried, F.explode(items).alias("_item"))
+
+
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON documents as text, one per file, with the partition columns of the path
     (``company=...`` or ``symbol=...``) telling what was asked for. A document is one result
     page, so its size is bounded by the page size."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "payload")
+    files = spark.read.option("wholetext", True).text(path)
+    return files.withColumnRenamed("value", "payload").withColumn(LANDED, _landed())
 
 
 def key_bars(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

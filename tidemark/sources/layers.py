@@ -73,18 +73,20 @@ class Layers:
         *,
         strict: bool = True,
         label: Callable[[DataFrame], DataFrame] | None = None,
+        drop: Sequence[str] = (),
     ) -> DataFrame | None:
         """Add the batch's new keys to a bronze table; a repeated batch adds nothing.
 
         ``strict`` refuses the whole batch when a row breaks a constraint; otherwise such rows
         go to ``bronze/<name>_rejected``, which is returned. ``label`` runs on the new rows
-        only, so a model is never asked about a stored row. The stored side is read for the
+        only, so a model is never asked about a stored row. ``drop`` names columns that only
+        order the batch. The stored side is read for the
         batch's months only: a key contains its date, so a duplicate has the same month. The
         rebalance hint lets AQE split a hot month and merge small ones before the files are
         written, without the extra run of the labels that range sampling would cost.
         """
         month = F.coalesce(F.date_format(F.col(table.date), "yyyy-MM"), F.lit("undated"))
-        first = first_write_wins(batch, arrival, table.key).withColumn(MONTH, month)
+        first = first_write_wins(batch, arrival, table.key).drop(*drop).withColumn(MONTH, month)
         rejected = None
         if strict:
             first = require_clean(first, table.constraints)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -13,3 +16,27 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def store_or_csv(
+    df: DataFrame,
+    store: Callable[[DataFrame], object],
+    csv_path: str,
+    save: bool = True,
+    flat: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> str | None:
+    """Store a batch in its table, or as CSV when storing is off or fails.
+
+    Returns None when the table took the batch, else why the CSV was written. ``flat`` gives
+    the batch a form that CSV can hold. Each backup is a folder of its own, so a second
+    failure does not overwrite the first.
+    """
+    reason = "saving to the table is off"
+    if save:
+        try:
+            store(df)
+            return None
+        except Exception as error:
+            reason = str(error)
+    write_csv(flat(df), f"{csv_path}/{uuid.uuid4().hex}")
+    return reason
