@@ -69,6 +69,13 @@ def from_domains(url: Column, domains: Iterable[str] = DEFAULT_DOMAINS) -> Colum
     return member
 
 
+def since_yesterday(published: Column, as_of: dt.date) -> Column:
+    """From midnight of the day before. The bound is made from text: a Python datetime would
+    enter as an instant and shift with the session's time zone."""
+    yesterday = (as_of - dt.timedelta(days=1)).isoformat()
+    return published >= F.lit(yesterday).cast("timestamp_ntz")
+
+
 def matching_articles(
     df: DataFrame,
     keyword: Column | str,
@@ -89,9 +96,8 @@ def matching_articles(
     mentioned = F.lit(False)
     for column in text:
         mentioned = mentioned | F.coalesce(F.contains(F.lower(F.col(column)), word), F.lit(False))
-    since = dt.datetime.combine(as_of - dt.timedelta(days=1), dt.time())
     return df.filter(
-        (F.col(published) >= F.lit(since).cast("timestamp_ntz"))
+        since_yesterday(F.col(published), as_of)
         & (F.col(language_column) == language)
         & from_domains(F.col(url), domains)
         & mentioned

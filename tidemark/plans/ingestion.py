@@ -74,8 +74,7 @@ def ingest_news(
     good, _skipped = landing.split_payloads(asked, "payload", schemas.NEWS_PAYLOAD, "articles")
     keyed = landing.key_news(landing.flatten_news(good, keep=ARRIVAL), keep=ARRIVAL)
     if as_of is not None:
-        since = dt.datetime.combine(as_of - dt.timedelta(days=1), dt.time())
-        keyed = keyed.filter(F.col("published_at") >= F.lit(since).cast("timestamp_ntz"))
+        keyed = keyed.filter(selection.since_yesterday(F.col("published_at"), as_of))
     page = selection.newest_articles(keyed, per_company)
     return _store(layers, pipeline.NEWS, page, ARRIVAL, save=save, strict=strict, label=label)
 
