@@ -253,7 +253,8 @@ def test_prices_are_rounded_or_out_of_range(rows):
         [("1", "M", Decimal("1.0050"), "S"), ("2", "M", Decimal("99999999.9950"), "S"), ("3", "M", None, "S")],
         "hash string, symbol string, transaction_price decimal(20,4), transaction_code string",
     )
-    good, bad = ingest.quarantine_split(df, ingest.INSIDER_CONSTRAINTS)
+    rules = ingest.INSIDER_CONSTRAINTS
+    good, bad = ingest.split_judged(ingest.judged(df, rules), rules)
     assert {(r.hash, r.transaction_price) for r in good.collect()} == {("1", Decimal("1.01")), ("3", None)}
     assert [(r.hash, r.broken_rules) for r in bad.collect()] == [("2", ["transaction_price out of range"])]
 

@@ -94,26 +94,29 @@ def violations(df: DataFrame, constraints: Constraints) -> DataFrame:
     return df.withColumn("broken_rule", F.explode(constraints.broken_rules()))
 
 
-def quarantine_split(df: DataFrame, constraints: Constraints) -> tuple[DataFrame, DataFrame]:
+BROKEN = "broken_rules"
+
+
+def judged(df: DataFrame, constraints: Constraints) -> DataFrame:
+    """The rows with the list of rules they break."""
+    return df.withColumn(BROKEN, constraints.broken_rules())
+
+
+def split_judged(df: DataFrame, constraints: Constraints) -> tuple[DataFrame, DataFrame]:
     """(rows to store, rejected rows with their broken rules)."""
-    checked = df.withColumn("broken_rules", constraints.broken_rules())
-    good = checked.filter(F.size("broken_rules") == 0).drop("broken_rules")
-    return constraints.store_types(good), checked.filter(F.size("broken_rules") > 0)
+    good = df.filter(F.size(BROKEN) == 0).drop(BROKEN)
+    return constraints.store_types(good), df.filter(F.size(BROKEN) > 0)
 
 
 class RejectedBatch(ValueError):
     """A strict batch held a row that the table does not accept; nothing was stored."""
 
 
-def require_clean(df: DataFrame, constraints: Constraints) -> DataFrame:
-    """Refuse the whole batch when any row breaks a rule, before anything is written."""
-    bad = df.withColumn("broken_rules", constraints.broken_rules()).filter(
-        F.size("broken_rules") > 0
-    )
-    sample = bad.select("broken_rules").head(1)
-    if sample:
-        raise RejectedBatch(f"batch rejected: {', '.join(sample[0].broken_rules)}")
-    return constraints.store_types(df)
+def refuse_broken(df: DataFrame) -> None:
+    """Refuse a judged batch as a whole when any row breaks a rule."""
+    bad = df.filter(F.size(BROKEN) > 0).select(BROKEN).head(1)
+    if bad:
+        raise RejectedBatch(f"batch rejected: {', '.join(bad[0][BROKEN])}")
 
 
 def counts_by(df: DataFrame, column: str) -> DataFrame:

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.ingest import (
     Constraints,
     first_write_wins,
+    judged,
     not_yet_stored,
-    quarantine_split,
-    require_clean,
+    refuse_broken,
+    split_judged,
 )
 
 MONTH = "load_month"
@@ -77,38 +78,47 @@ class Layers:
     ) -> DataFrame | None:
         """Add the batch's new keys to a bronze table; a repeated batch adds nothing.
 
+        The batch is de-duplicated, judged and written to a staging table first, so its plan
+        runs once: the checks, the month list and the append read the staged columns they need.
         ``strict`` refuses the whole batch when a row breaks a constraint; otherwise such rows
         go to ``bronze/<name>_rejected``, which is returned. ``label`` runs on the new rows
         only, so a model is never asked about a stored row. ``drop`` names columns that only
-        order the batch. The stored side is read for the
-        batch's months only: a key contains its date, so a duplicate has the same month. The
-        rebalance hint lets AQE split a hot month and merge small ones before the files are
-        written, without the extra run of the labels that range sampling would cost.
+        order the batch. The stored side is read for the batch's months only: a key contains
+        its date, so a duplicate has the same month. The rebalance hint lets AQE split a hot
+        month and merge small ones before the files are written, without the extra run of the
+        labels that range sampling would cost.
         """
         month = F.coalesce(F.date_format(F.col(table.date), "yyyy-MM"), F.lit("undated"))
-        first = first_write_wins(batch, arrival, table.key).drop(*drop).withColumn(MONTH, month)
-        rejected = None
+        rules = table.constraints
+        staged = self.rebuild(
+            "_staging",
+            table.name,
+            judged(first_write_wins(batch, arrival, table.key).drop(*drop), rules).withColumn(
+                MONTH, month
+            ),
+        )
         if strict:
-            first = require_clean(first, table.constraints)
-        else:
-            first, rejected = quarantine_split(first, table.constraints)
-            rejects = f"{table.name}_rejected"
-            fresh = rejected
-            if self.exists("bronze", rejects):
-                fresh = not_yet_stored(rejected, self.read("bronze", rejects), table.key)
-            fresh.write.mode("append").parquet(self.path("bronze", rejects))
+            refuse_broken(staged)
+        fresh, rejected = split_judged(staged, rules)
+        if not strict:
+            self._append_missing(f"{table.name}_rejected", rejected, table.key)
         if self.exists("bronze", table.name):
             # At most one value per calendar month of the batch.
-            months = [r[0] for r in first.select(MONTH).distinct().collect()]
+            months = [r[0] for r in fresh.select(MONTH).distinct().collect()]
             stored = self.read("bronze", table.name).filter(F.col(MONTH).isin(months))
-            first = not_yet_stored(first, stored, table.key)
+            fresh = not_yet_stored(fresh, stored, table.key)
         if label is not None:
-            first = label(first)
+            fresh = label(fresh)
         (
-            first.withColumn("created_at", F.current_timestamp())
+            fresh.withColumn("created_at", F.current_timestamp())
             .hint("rebalance", MONTH)
             .write.mode("append")
             .partitionBy(MONTH)
             .parquet(self.path("bronze", table.name))
         )
-        return rejected
+        return None if strict else rejected
+
+    def _append_missing(self, name: str, rows: DataFrame, key: str) -> None:
+        if self.exists("bronze", name):
+            rows = not_yet_stored(rows, self.read("bronze", name), key)
+        rows.write.mode("append").parquet(self.path("bronze", name))
