@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.windows import chunked, rolling
+from tidemark.operators.windows import chunked
 from tidemark.plans.gold_price import price_indicators
 
 DAY0 = dt.date(1969, 11, 1)
@@ -39,19 +39,25 @@ SCHEMA = (
 def test_chunked_windows_equal_plain_ones(rows, chunk_days):
     df = rows(history(3), SCHEMA)
 
-    def columns(order):
-        return {
-            "before": F.lag("close_price", 1).over(order),
-            "fourth_before": F.lag("trade_volume", 4).over(order),
-            "total": F.sum("trade_volume").over(rolling(order)),
-            "low": F.min("close_price").over(rolling(order)),
-            "rows": F.count(F.lit(1)).over(rolling(order)),
-        }
-
-    plain = Window.partitionBy("ticket").orderBy(
+    columns = {
+        "before": "lag(close_price) OVER ordered",
+        "fourth_before": "lag(trade_volume, 4) OVER ordered",
+        "total": "sum(trade_volume) OVER rolling",
+        "low": "min(close_price) OVER rolling",
+        "row_total": "count(*) OVER rolling",
+    }
+    order = Window.partitionBy("ticket").orderBy(
         F.col("trading_date").asc_nulls_last(), F.col("stock_hash").asc_nulls_last()
     )
-    expected = df.select("*", *[c.alias(n) for n, c in columns(plain).items()])
+    five = order.rowsBetween(-4, 0)
+    expected = df.select(
+        "*",
+        F.lag("close_price").over(order).alias("before"),
+        F.lag("trade_volume", 4).over(order).alias("fourth_before"),
+        F.sum("trade_volume").over(five).alias("total"),
+        F.min("close_price").over(five).alias("low"),
+        F.count(F.lit(1)).over(five).alias("row_total"),
+    )
     got = chunked(
         df,
         key="ticket",

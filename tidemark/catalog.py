@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import feeds, schemas
 from tidemark.feeds import Tables
@@ -51,12 +50,13 @@ def query(build: Callable[[Tables], DataFrame]) -> Query:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    return df.select(
+    types = df.dtypes
+    if not any(kind.startswith("decimal") for _, kind in types):
+        return df
+    return df.selectExpr(
         *[
-            F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
-            for f in df.schema
+            f"cast(`{name}` AS DOUBLE) AS `{name}`" if kind.startswith("decimal") else f"`{name}`"
+            for name, kind in types
         ]
     )
 

@@ -7,7 +7,7 @@ broadcasts a side when its measured size allows and splits the skewed partitions
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,13 +34,16 @@ LINE_ORDER = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_q
 
 @dataclass(frozen=True)
 class Tables:
-    """The Parquet tables of one data folder, by name."""
+    """The Parquet tables of one data folder, by name; each file's schema is read once."""
 
     spark: SparkSession
     folder: str
+    _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
 
 def _ticker() -> Column:

@@ -60,8 +60,3 @@ def lexicon_label(text: Column, lexicon: Lexicon = Lexicon()) -> Column:
 def normalise_label(answer: Column) -> Column:
     """Strip and lower-case an answer; no answer is neutral, an off-list answer is kept."""
     return F.coalesce(F.lower(F.trim(answer, F.lit(WHITESPACE))), F.lit(NEUTRAL))
-
-
-def sentiment_points(label: Column) -> Column:
-    """+1 for good, -1 for bad, 0 for anything else."""
-    return F.when(label == GOOD, 1).when(label == BAD, -1).otherwise(0)

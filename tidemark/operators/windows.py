@@ -4,15 +4,16 @@ Two kinds of input occur. After a group-by on (key, date) a key has at most one
 calendar day, so a plain window by key is bounded whatever the raw skew was. Raw rows have no
 such bound: one ticker may hold a third of them. ``chunked`` evaluates windows that look a
 fixed number of rows back without ever bringing a key's whole history into one task.
+
+Window columns are SQL text over the named windows ``ordered`` (the rows of a key by date),
+``rolling`` (the last five of them) and ``running`` (all up to the current one).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
+from pyspark.sql import DataFrame
 
 # Fixed value: rows in a rolling frame, the current one included.
 FRAME_ROWS = 5
@@ -21,17 +22,18 @@ CHUNK_DAYS = 64
 _UNDATED_CHUNK = 2**31 - 1
 
 
-def rolling(order: WindowSpec, rows: int = FRAME_ROWS) -> WindowSpec:
-    return order.rowsBetween(-(rows - 1), 0)
-
-
-def running(order: WindowSpec) -> WindowSpec:
-    return order.rowsBetween(Window.unboundedPreceding, 0)
+def named_windows(partition: str, order: str) -> str:
+    """The WINDOW clause that defines the three named windows."""
+    spec = f"PARTITION BY {partition} ORDER BY {order}"
+    return f"""WINDOW
+        ordered AS ({spec}),
+        rolling AS ({spec} ROWS BETWEEN {FRAME_ROWS - 1} PRECEDING AND CURRENT ROW),
+        running AS ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
 
-def by_day(key: str, date: str) -> WindowSpec:
-    """Order within a key whose rows are already unique per day; undated rows come last."""
-    return Window.partitionBy(key).orderBy(F.col(date).asc_nulls_last())
+def day_windows(key: str, date: str) -> str:
+    """Windows within a key whose rows are already unique per day; undated rows come last."""
+    return named_windows(key, f"{date} ASC NULLS LAST")
 
 
 def chunked(
@@ -41,11 +43,12 @@ def chunked(
     date: str,
     tiebreak: str,
     carry: Sequence[str],
-    columns: Callable[[WindowSpec], dict[str, Column]],
+    columns: Mapping[str, str],
     lookback: int = FRAME_ROWS - 1,
     chunk_days: int = CHUNK_DAYS,
 ) -> DataFrame:
-    """Add window columns that reach at most ``lookback`` rows back within ``key``.
+    """Add window columns over ``ordered`` and ``rolling`` that reach at most ``lookback`` rows
+    back within ``key``.
 
     A key's history is cut into calendar chunks and the windows run per (key, chunk). Each
     chunk is preceded by copies of the ``lookback`` rows before it, which are dropped again
@@ -53,46 +56,37 @@ def chunked(
     chunk per map task, and every chunk in existence has at least one row, so the tails of
     the ``lookback`` chunks before it always hold the rows needed, however sparse the key is.
     """
-    identity = [key, date, tiebreak]
-    day = F.unix_date(F.col(date))
-    chunk = F.coalesce(F.floor(day / F.lit(chunk_days)).cast("int"), F.lit(_UNDATED_CHUNK))
-    rows = df.select(*identity, *carry, chunk.alias("_chunk"))
-
-    newest_first = Window.partitionBy(key, "_chunk").orderBy(
-        F.col(date).desc_nulls_first(), F.col(tiebreak).desc_nulls_first()
-    )
-    tails = (
-        rows.withColumn("_back", F.row_number().over(newest_first))
-        .filter(F.col("_back") <= lookback)
-        .groupBy(key, "_chunk")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct((-F.col("_back")).alias("_position"), date, tiebreak, *carry))
-            ).alias("_tail")
-        )
-    )
-
-    chunks_before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-lookback, -1)
-    earlier = F.flatten(F.collect_list("_tail").over(chunks_before))
-    first_needed = F.greatest(F.size("_earlier") - F.lit(lookback - 1), F.lit(1))
-    lead_in = (
-        tails.select(key, "_chunk", earlier.alias("_earlier"))
-        .select(key, "_chunk", F.explode(F.slice("_earlier", first_needed, lookback)).alias("_row"))
-        .select(
-            key,
-            *[F.col(f"_row.{c}").alias(c) for c in (date, tiebreak, *carry)],
-            "_chunk",
-            F.lit(True).alias("_lead_in"),
-        )
-    )
-
-    order = Window.partitionBy(key, "_chunk").orderBy(
-        F.col(date).asc_nulls_last(), F.col(tiebreak).asc_nulls_last()
-    )
-    return (
-        rows.withColumn("_lead_in", F.lit(False))
-        .unionByName(lead_in)
-        .select("*", *[c.alias(name) for name, c in columns(order).items()])
-        .filter(~F.col("_lead_in"))
-        .drop("_chunk", "_lead_in")
-    )
+    carried = [date, tiebreak, *carry]
+    listed = ", ".join(carried)
+    from_row = ", ".join(f"_row.{c}" for c in carried)
+    added = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
+    order = f"{date} ASC NULLS LAST, {tiebreak} ASC NULLS LAST"
+    newest_first = f"{date} DESC NULLS FIRST, {tiebreak} DESC NULLS FIRST"
+    query = f"""
+        WITH chunks AS (
+            SELECT {key}, {listed},
+                   coalesce(cast(floor(unix_date({date}) / {chunk_days}) AS INT), {_UNDATED_CHUNK}) AS _chunk
+            FROM {{df}}),
+        tails AS (
+            SELECT {key}, _chunk, sort_array(collect_list(struct(-_back AS _position, {listed}))) AS _tail
+            FROM (SELECT *, row_number() OVER (PARTITION BY {key}, _chunk ORDER BY {newest_first}) AS _back
+                  FROM chunks)
+            WHERE _back <= {lookback}
+            GROUP BY {key}, _chunk),
+        before AS (
+            SELECT {key}, _chunk, flatten(collect_list(_tail) OVER (
+                       PARTITION BY {key} ORDER BY _chunk ROWS BETWEEN {lookback} PRECEDING AND 1 PRECEDING))
+                   AS _rows
+            FROM tails),
+        lead_in AS (
+            SELECT {key}, _chunk,
+                   explode(slice(_rows, greatest(size(_rows) - {lookback - 1}, 1), {lookback})) AS _row
+            FROM before),
+        together AS (
+            SELECT {key}, {listed}, _chunk, false AS _lead_in FROM chunks
+            UNION ALL
+            SELECT {key}, {from_row}, _chunk, true FROM lead_in),
+        framed AS (
+            SELECT *, {added} FROM together {named_windows(f"{key}, _chunk", order)})
+        SELECT * EXCEPT (_chunk, _lead_in) FROM framed WHERE NOT _lead_in"""
+    return df.sparkSession.sql(query, df=df)

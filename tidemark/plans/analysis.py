@@ -31,25 +31,16 @@ def master_merge(gold: Gold) -> DataFrame:
     days without a price are lost. Both joins use the whole (ticker, day) key, which spreads
     a hot ticker over its days.
     """
-    news = gold.news.withColumnRenamed("ticket", "_news_ticket")
-    insider = gold.insider.withColumnRenamed("symbol", "_insider_ticket")
-    price = gold.price
-    return (
-        price.join(
-            news,
-            (price.ticket == news._news_ticket) & (price.trading_date == news.news_date),
-            "left",
-        )
-        .join(
-            insider,
-            (price.ticket == insider._insider_ticket)
-            & (price.trading_date == insider.transaction_date),
-            "left",
-        )
-        .drop("_news_ticket", "_insider_ticket")
-        .fillna(0, ["daily_sentiment_score"])
-        .withColumn("net_value_flow", F.coalesce("net_value_flow", F.lit(0)))
-        .withColumn("sentiment_intensity", F.abs("daily_sentiment_score"))
+    query = """
+        SELECT p.*, n.* EXCEPT (ticket, daily_sentiment_score), i.* EXCEPT (symbol, net_value_flow),
+               coalesce(n.daily_sentiment_score, 0) AS daily_sentiment_score,
+               coalesce(i.net_value_flow, 0) AS net_value_flow,
+               abs(coalesce(n.daily_sentiment_score, 0)) AS sentiment_intensity
+        FROM {price} p
+        LEFT JOIN {news} n ON p.ticket = n.ticket AND p.trading_date = n.news_date
+        LEFT JOIN {insider} i ON p.ticket = i.symbol AND p.trading_date = i.transaction_date"""
+    return gold.price.sparkSession.sql(
+        query, price=gold.price, news=gold.news, insider=gold.insider
     )
 
 
@@ -129,14 +120,12 @@ def insider_totals(gold_insider: DataFrame) -> DataFrame:
 
 def sell_buy_ratio(gold_insider: DataFrame) -> DataFrame:
     """Shares sold for each share bought; NULL where nothing was bought."""
-    ratio = safe_divide(
-        F.col("total_shares_sold_abs").cast("decimal(20,0)"), F.col("total_shares_bought")
-    )
-    return insider_totals(gold_insider).select(
+    ratio = safe_divide("cast(total_shares_sold_abs AS DECIMAL(20,0))", "total_shares_bought")
+    return insider_totals(gold_insider).selectExpr(
         "ticket",
         "total_shares_bought",
         "total_shares_sold_abs",
-        F.round(ratio, 4).alias("sell_buy_ratio"),
+        f"round({ratio}, 4) AS sell_buy_ratio",
     )
 
 

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import sign_flag
-from tidemark.operators.windows import by_day, rolling, running
+from tidemark.functions.numeric import safe_divide, sign_flag
+from tidemark.operators.windows import day_windows
 
 # Fixed value: days between activities that still make a cluster.
 CLUSTER_DAYS = 3
@@ -15,21 +14,21 @@ CLUSTER_DAYS = 3
 def daily_insider(silver_insider: DataFrame) -> DataFrame:
     """Totals per symbol and day, including the bought and sold values.
 
-    ``count(distinct name)`` is exact; Spark groups by (symbol, day, name) first, which also
+    ``count(DISTINCT name)`` is exact; Spark groups by (symbol, day, name) first, which also
     spreads a hot symbol.
     """
-    change = F.col("change")
-    value = F.col("transaction_price") * change
-    return silver_insider.groupBy("symbol", "transaction_date").agg(
-        F.count_distinct("name").alias("distinct_insiders_active"),
-        F.sum(F.when(change > 0, change).otherwise(0)).alias("total_shares_bought"),
-        F.sum(F.when(change < 0, change).otherwise(0)).alias("total_shares_sold"),
-        F.sum(change).alias("net_shares_flow"),
-        F.sum(F.when(change > 0, value).otherwise(0)).alias("total_value_bought"),
-        F.sum(F.when(change < 0, value).otherwise(0)).alias("total_value_sold"),
-        F.sum(value).alias("net_value_flow"),
-        F.count(F.lit(1)).alias("total_transactions_count"),
-    )
+    query = """
+        SELECT symbol, transaction_date,
+               count(DISTINCT name) AS distinct_insiders_active,
+               sum(if(change > 0, change, 0)) AS total_shares_bought,
+               sum(if(change < 0, change, 0)) AS total_shares_sold,
+               sum(change) AS net_shares_flow,
+               sum(if(change > 0, transaction_price * change, 0)) AS total_value_bought,
+               sum(if(change < 0, transaction_price * change, 0)) AS total_value_sold,
+               sum(transaction_price * change) AS net_value_flow,
+               count(*) AS total_transactions_count
+        FROM {trades} GROUP BY symbol, transaction_date"""
+    return silver_insider.sparkSession.sql(query, trades=silver_insider)
 
 
 def insider_signals(silver_insider: DataFrame) -> DataFrame:
@@ -37,49 +36,35 @@ def insider_signals(silver_insider: DataFrame) -> DataFrame:
 
     The windows run on one row per symbol and day, so a hot symbol is bounded by the calendar.
     """
-    days = daily_insider(silver_insider)
-    order = by_day("symbol", "transaction_date")
-    five, ever = rolling(order), running(order)
-    date, shares, value = F.col("transaction_date"), F.col("net_shares_flow"), F.col("net_value_flow")
-    insiders, trades = F.col("distinct_insiders_active"), F.col("total_transactions_count")
-    five_shares = F.sum(shares).over(five)
-    framed = days.select(
-        "*",
-        F.lag(date, 1).over(order).alias("previous_activity_date"),
-        F.lag(shares, 1).over(order).alias("previous_day_net_shares_flow"),
-        five_shares.alias("rolling_5_day_net_shares_flow"),
-        F.sum(value).over(five).alias("rolling_5_day_net_value_flow"),
-        F.count(shares).over(five).alias("_five_count"),
-        F.sum(insiders).over(five).alias("rolling_5_day_active_insiders"),
-        F.sum(trades).over(five).alias("rolling_5_day_transaction_count"),
-        F.sum(shares).over(ever).alias("cumulative_net_shares_flow"),
-        F.sum(value).over(ever).alias("cumulative_net_value_flow"),
-        F.sum(trades).over(ever).alias("cumulative_transaction_count"),
-    )
-    gap = F.datediff(date, F.col("previous_activity_date"))
-    rolling_shares = F.col("rolling_5_day_net_shares_flow")
-    average = rolling_shares.cast("decimal(20,0)") / F.nullif(F.col("_five_count"), F.lit(0))
-    return framed.select(
-        "symbol",
-        "transaction_date",
-        "distinct_insiders_active",
-        "total_shares_bought",
-        "total_shares_sold",
-        "net_shares_flow",
-        "net_value_flow",
-        "total_transactions_count",
-        "previous_activity_date",
-        gap.alias("days_since_last_activity"),
-        "previous_day_net_shares_flow",
-        (shares - F.col("previous_day_net_shares_flow")).alias("change_in_net_shares_flow"),
-        "rolling_5_day_net_shares_flow",
-        "rolling_5_day_net_value_flow",
-        average.alias("rolling_5_day_avg_net_shares"),
-        "rolling_5_day_active_insiders",
-        "rolling_5_day_transaction_count",
-        "cumulative_net_shares_flow",
-        "cumulative_net_value_flow",
-        "cumulative_transaction_count",
-        sign_flag(rolling_shares).alias("rolling_5_day_sentiment"),
-        F.when(gap <= CLUSTER_DAYS, 1).otherwise(0).alias("is_activity_cluster"),
+    average = safe_divide(
+        "cast(rolling_5_day_net_shares_flow AS DECIMAL(20,0))", "_rolling_count"
     )
+    query = f"""
+        WITH framed AS (
+            SELECT * EXCEPT (total_value_bought, total_value_sold),
+                   lag(transaction_date) OVER ordered AS previous_activity_date,
+                   lag(net_shares_flow) OVER ordered AS previous_day_net_shares_flow,
+                   sum(net_shares_flow) OVER rolling AS rolling_5_day_net_shares_flow,
+                   sum(net_value_flow) OVER rolling AS rolling_5_day_net_value_flow,
+                   count(net_shares_flow) OVER rolling AS _rolling_count,
+                   sum(distinct_insiders_active) OVER rolling AS rolling_5_day_active_insiders,
+                   sum(total_transactions_count) OVER rolling AS rolling_5_day_transaction_count,
+                   sum(net_shares_flow) OVER running AS cumulative_net_shares_flow,
+                   sum(net_value_flow) OVER running AS cumulative_net_value_flow,
+                   sum(total_transactions_count) OVER running AS cumulative_transaction_count
+            FROM {{days}} {day_windows("symbol", "transaction_date")}),
+        gaps AS (
+            SELECT *, datediff(transaction_date, previous_activity_date) AS days_since_last_activity
+            FROM framed)
+        SELECT symbol, transaction_date, distinct_insiders_active, total_shares_bought,
+               total_shares_sold, net_shares_flow, net_value_flow, total_transactions_count,
+               previous_activity_date, days_since_last_activity, previous_day_net_shares_flow,
+               net_shares_flow - previous_day_net_shares_flow AS change_in_net_shares_flow,
+               rolling_5_day_net_shares_flow, rolling_5_day_net_value_flow,
+               {average} AS rolling_5_day_avg_net_shares,
+               rolling_5_day_active_insiders, rolling_5_day_transaction_count,
+               cumulative_net_shares_flow, cumulative_net_value_flow, cumulative_transaction_count,
+               {sign_flag("rolling_5_day_net_shares_flow")} AS rolling_5_day_sentiment,
+               if(days_since_last_activity <= {CLUSTER_DAYS}, 1, 0) AS is_activity_cluster
+        FROM gaps"""
+    return silver_insider.sparkSession.sql(query, days=daily_insider(silver_insider))

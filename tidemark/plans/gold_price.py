@@ -2,78 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
+from pyspark.sql import DataFrame
 
 from tidemark.functions.numeric import ratio_pct, safe_divide, sign_flag
-from tidemark.operators.windows import CHUNK_DAYS, chunked, rolling
+from tidemark.operators.windows import CHUNK_DAYS, chunked
 
+WINDOWED = {
+    "close_price_yesterday": "lag(close_price) OVER ordered",
+    "volume_1d": "lag(trade_volume) OVER ordered",
+    "max_5d_close_price": "max(close_price) OVER rolling",
+    "min_5d_close_price": "min(close_price) OVER rolling",
+    "min_5d_low_price": "min(low_price) OVER rolling",
+    "max_5d_volume": "max(trade_volume) OVER rolling",
+    "_close_sum": "sum(close_price) OVER rolling",
+    "_close_count": "count(close_price) OVER rolling",
+    "_volume_sum": "sum(trade_volume) OVER rolling",
+    "_volume_count": "count(trade_volume) OVER rolling",
+    "_close_deviation": "stddev_samp(close_price) OVER rolling",
+}
 
-def _window_columns(order: WindowSpec) -> dict[str, Column]:
-    five = rolling(order)
-    close, low, volume = F.col("close_price"), F.col("low_price"), F.col("trade_volume")
-    return {
-        "close_price_yesterday": F.lag(close, 1).over(order),
-        "volume_1d": F.lag(volume, 1).over(order),
-        "max_5d_close_price": F.max(close).over(five),
-        "min_5d_close_price": F.min(close).over(five),
-        "min_5d_low_price": F.min(low).over(five),
-        "max_5d_volume": F.max(volume).over(five),
-        "_close_sum": F.sum(close).over(five),
-        "_close_count": F.count(close).over(five),
-        "_volume_sum": F.sum(volume).over(five),
-        "_volume_count": F.count(volume).over(five),
-        "_close_deviation": F.stddev_samp(close).over(five),
-    }
+# Averages are sums over counts in decimals: ``avg`` of a decimal would keep 8 digits only.
+_CHANGE = "close_price - close_price_yesterday"
+_RANGE = "max_5d_close_price - min_5d_close_price"
+_AVERAGE = safe_divide("_close_sum", "_close_count")
+_VOLUME_AVERAGE = safe_divide("cast(_volume_sum AS DECIMAL(20,0))", "_volume_count")
 
+# (close - average) / average, in terms of the sum. The narrow types leave the quotient enough
+# digits to be rounded only once.
+_TOTAL = "cast(_close_sum AS DECIMAL(19,4))"
+_ABOVE_AVERAGE = f"close_price * cast(_close_count AS DECIMAL(1,0)) - {_TOTAL}"
+
+INDICATORS = {
+    "price_change_1d": _CHANGE,
+    "price_change_pct_1d": ratio_pct(_CHANGE, "close_price_yesterday"),
+    "volume_1d": "volume_1d",
+    "volume_change_1d": "trade_volume - volume_1d",
+    "ma5_close_price": f"round({_AVERAGE}, 2)",
+    "ma5_volume": f"round({_VOLUME_AVERAGE}, 0)",
+    "max_5d_close_price": "max_5d_close_price",
+    "min_5d_close_price": "min_5d_close_price",
+    "min_5d_low_price": "min_5d_low_price",
+    "max_5d_volume": "max_5d_volume",
+    "price_range_5d": f"round({_RANGE}, 2)",
+    "price_percentile_5d": ratio_pct("close_price - min_5d_close_price", _RANGE),
+    "stddev_5d_close_price": "round(_close_deviation, 2)",
+    "distance_from_ma5": f"round(close_price - {_AVERAGE}, 2)",
+    "distance_pct_from_ma5": ratio_pct(_ABOVE_AVERAGE, _TOTAL),
+    "price_direction_1d": f"coalesce({sign_flag(_CHANGE)}, 0)",
+}
 
-def price_indicators(silver_stocks: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
-    """Daily change, five-row averages, extremes, range position, volatility and direction.
 
-    Averages are sums over counts in decimals: ``avg`` of a decimal would keep 8 digits only.
-    """
+def price_indicators(silver_stocks: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+    """Daily change, five-row averages, extremes, range position, volatility and direction."""
     framed = chunked(
         silver_stocks,
         key="ticket",
         date="trading_date",
         tiebreak="stock_hash",
         carry=("close_price", "low_price", "trade_volume"),
-        columns=_window_columns,
+        columns=WINDOWED,
         chunk_days=chunk_days,
     )
-    close, before = F.col("close_price"), F.col("close_price_yesterday")
-    low5, high5 = F.col("min_5d_close_price"), F.col("max_5d_close_price")
-    close_sum, close_count = F.col("_close_sum"), F.col("_close_count")
-    average = safe_divide(close_sum, close_count)
-    # (close - average) / average, in terms of the sum. The narrow types leave the quotient
-    # enough digits to be rounded only once.
-    total = close_sum.cast("decimal(19,4)")
-    above_average = close * close_count.cast("decimal(1,0)") - total
-    volume_average = safe_divide(
-        F.col("_volume_sum").cast("decimal(20,0)"), F.col("_volume_count")
-    )
-    return framed.select(
+    return framed.selectExpr(
         "ticket",
         "trading_date",
         "close_price",
         "low_price",
         "trade_volume",
         "close_price_yesterday",
-        (close - before).alias("price_change_1d"),
-        ratio_pct(close - before, before).alias("price_change_pct_1d"),
-        "volume_1d",
-        (F.col("trade_volume") - F.col("volume_1d")).alias("volume_change_1d"),
-        F.round(average, 2).alias("ma5_close_price"),
-        F.round(volume_average, 0).alias("ma5_volume"),
-        "max_5d_close_price",
-        "min_5d_close_price",
-        "min_5d_low_price",
-        "max_5d_volume",
-        F.round(high5 - low5, 2).alias("price_range_5d"),
-        ratio_pct(close - low5, high5 - low5).alias("price_percentile_5d"),
-        F.round("_close_deviation", 2).alias("stddev_5d_close_price"),
-        F.round(close - average, 2).alias("distance_from_ma5"),
-        ratio_pct(above_average, total).alias("distance_pct_from_ma5"),
-        F.coalesce(sign_flag(close - before), F.lit(0)).alias("price_direction_1d"),
+        *[f"{sql} AS {name}" for name, sql in INDICATORS.items()],
     )

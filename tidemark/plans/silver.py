@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRICE = "decimal(18,4)"
@@ -25,13 +25,9 @@ class Silver:
     insider: DataFrame
 
 
-def _as(column: str, type_: str, name: str | None = None) -> Column:
-    return F.col(column).cast(type_).alias(name or column)
-
-
-def _volume(column: str, name: str) -> Column:
+def _whole(column: str, name: str) -> str:
     """A whole number from any numeric input; fractions round, as a SQL cast to bigint does."""
-    return F.round(F.col(column)).cast("bigint").alias(name)
+    return f"cast(round({column}) AS BIGINT) AS {name}"
 
 
 def stamped(df: DataFrame) -> DataFrame:
@@ -40,32 +36,32 @@ def stamped(df: DataFrame) -> DataFrame:
 
 
 def stocks(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
-        _as("hash", "string", "stock_hash"),
-        F.upper(F.col("ticket").cast("string")).alias("ticket"),
-        _as("date", "date", "trading_date"),
-        *[_as(f, PRICE, f"{f}_price") for f in ("close", "high", "low", "open")],
-        _volume("volume", "trade_volume"),
+    return bronze.selectExpr(
+        "cast(hash AS STRING) AS stock_hash",
+        "upper(cast(ticket AS STRING)) AS ticket",
+        "cast(date AS DATE) AS trading_date",
+        *[f"cast({f} AS {PRICE}) AS {f}_price" for f in ("close", "high", "low", "open")],
+        _whole("volume", "trade_volume"),
     )
 
 
 def insider(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
-        _as("hash", "string", "insider_transactions_hash"),
-        F.upper(F.col("symbol").cast("string")).alias("symbol"),
-        _as("name", "string"),
-        _volume("share", "share"),
-        _volume("change", "change"),
-        _as("filing_date", "date"),
-        _as("transaction_date", "date"),
-        _as("transaction_price", PRICE),
-        _as("transaction_code", "string"),
+    return bronze.selectExpr(
+        "cast(hash AS STRING) AS insider_transactions_hash",
+        "upper(cast(symbol AS STRING)) AS symbol",
+        "cast(name AS STRING) AS name",
+        _whole("share", "share"),
+        _whole("change", "change"),
+        "cast(filing_date AS DATE) AS filing_date",
+        "cast(transaction_date AS DATE) AS transaction_date",
+        f"cast(transaction_price AS {PRICE}) AS transaction_price",
+        "cast(transaction_code AS STRING) AS transaction_code",
     )
 
 
 def ticker_map(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
-        F.upper(F.col("ticket").cast("string")).alias("ticket"), _as("company", "string")
+    return bronze.selectExpr(
+        "upper(cast(ticket AS STRING)) AS ticket", "cast(company AS STRING) AS company"
     )
 
 
@@ -75,21 +71,15 @@ def news(bronze: DataFrame, bronze_map: DataFrame) -> DataFrame:
     Companies match whatever their case. There is no broadcast hint: Spark broadcasts the map
     when its measured size allows, and otherwise shuffles and splits a hot company's rows.
     """
-    typed = bronze.filter(F.col("description").isNotNull()).select(
-        _as("hash", "string", "hash_news"),
-        _as("company", "string"),
-        _as("title", "string", "news_titel"),
-        _as("description", "string", "news_description"),
-        _as("url", "string", "news_url"),
-        _as("sentiment", "string", "news_sentiment"),
-        _as("published_at", "timestamp_ntz"),
-    )
-    names = ticker_map(bronze_map).select("ticket", F.upper("company").alias("_company"))
-    joined = typed.join(names, F.upper(typed.company) == names._company, "left")
-    return joined.select(
-        "hash_news", "company", "ticket", "news_titel", "news_description", "news_url",
-        "news_sentiment", "published_at",
-    )
+    query = """
+        SELECT cast(n.hash AS STRING) AS hash_news, cast(n.company AS STRING) AS company, m.ticket,
+               cast(n.title AS STRING) AS news_titel,
+               cast(n.description AS STRING) AS news_description, cast(n.url AS STRING) AS news_url,
+               cast(n.sentiment AS STRING) AS news_sentiment,
+               cast(n.published_at AS TIMESTAMP_NTZ) AS published_at
+        FROM {news} n LEFT JOIN {names} m ON upper(n.company) = upper(m.company)
+        WHERE n.description IS NOT NULL"""
+    return bronze.sparkSession.sql(query, news=bronze, names=ticker_map(bronze_map))
 
 
 def build(bronze: Bronze) -> Silver:
