@@ -53,7 +53,8 @@ def main() -> None:
     asked = os.environ.get("BENCH_QUERIES", "")
     names = list(REGISTRY) if asked == "all" else [n for n in asked.split(",") if n] or HEADLINE
 
-    spark = local_session(cpus, partitions=cpus, **{"spark.log.level": "ERROR"})
+    quiet = {"spark.log.level": "ERROR", "spark.python.sql.dataFrameDebugging.enabled": "false"}
+    spark = local_session(cpus, partitions=cpus, **quiet)
     run(spark, folder, "target_ticker")  # start the JVM's workers and code generation
     queries = {}
     for name in names:
