@@ -3,6 +3,8 @@
     BENCH_SF_DIR   folder of the tables (default /root/testdata/sf0.1)
     BENCH_CPUS     cores of the local session (default 8)
     BENCH_REPEATS  timed runs per query; the median counts (default 1)
+    BENCH_WARM_DIR folder of small tables on which each query runs once, untimed, so that the
+                   JVM has compiled its code (default: sf0.001 beside the tables; "" for none)
     BENCH_QUERIES  comma-separated names instead of the headline list, or "all"
 """
 
@@ -55,7 +57,10 @@ def main() -> None:
 
     quiet = {"spark.log.level": "ERROR", "spark.python.sql.dataFrameDebugging.enabled": "false"}
     spark = local_session(cpus, partitions=cpus, **quiet)
-    run(spark, folder, "target_ticker")  # start the JVM's workers and code generation
+    small = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.001"))
+    if small and os.path.isdir(small):
+        for name in names:
+            run(spark, small, name)
     queries = {}
     for name in names:
         queries[name] = round(statistics.median(run(spark, folder, name) for _ in range(repeats)), 3)

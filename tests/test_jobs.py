@@ -9,7 +9,7 @@ import pytest
 
 from tidemark import jobs
 from tidemark.operators.ingest import RejectedBatch
-from tidemark.plans import ingestion, pipeline
+from tidemark.plans import ingestion
 from tidemark.sources import landing
 from tidemark.sources.layers import Layers
 from tidemark.sources.sinks import store_or_csv
