@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, sharding
+from tidemark.llm import decontaminate, line_dedup, packing, sharding, simhash
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,13 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.number_slots(rows, order=("doc_id", "text_crc32")).withColumn("law", F.lit("key"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -44,6 +51,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_line_dedup, op3_sharding, op6_decontaminate)
+    f.__name__: f for f in (op2_line_dedup, op3_sharding, op4_simhash, op6_decontaminate, op8_packing)
 }
