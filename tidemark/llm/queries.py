@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, packing, sharding, simhash
-from tidemark.llm.common import table
+from tidemark.llm import decontaminate, langid, line_dedup, packing, sharding, simhash
+from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 4) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    dictionaries = langid.learn_dictionaries(docs.filter("not held_out"))
+    return langid.identify(docs.drop("lang"), dictionaries).drop("text")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_lines", "n_removed")
@@ -56,5 +63,5 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_line_dedup, op3_sharding, op4_simhash, op6_decontaminate, op8_packing)
+    f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_sharding, op4_simhash, op6_decontaminate, op8_packing)
 }
