@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def lead_workers_here(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package wherever the session was started.
+
+    On a cluster the package comes with ``--py-files`` or is installed; the path does no harm there.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (known, root) if p)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lead_workers_here(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, line_dedup, packing, sharding, simhash
+from tidemark.llm import decontaminate, langid, line_dedup, packing, sharding, simhash, suffix_tree
 from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,10 +58,17 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 7) == 2
+    found = suffix_tree.score_texts(docs, docs.filter(~held_out))
+    return found.withColumn("held_out", held_out)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_sharding, op4_simhash, op6_decontaminate, op8_packing)
+    f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_sharding, op4_simhash, op6_decontaminate, op7_lm_scoring, op8_packing)
 }
