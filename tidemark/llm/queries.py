@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, line_dedup, packing, sharding, simhash, suffix_tree
+from tidemark.llm import decontaminate, langid, line_dedup, packing, quality, sharding, simhash, suffix_tree, toxicity
 from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 5) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score_toxicity(docs, model).drop("text")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -69,6 +76,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 4) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    model = quality.learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return quality.score_quality(docs, model).drop("text")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_sharding, op4_simhash, op6_decontaminate, op7_lm_scoring, op8_packing)
+    f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_sharding, op4_simhash, op5_toxicity, op6_decontaminate, op7_lm_scoring, op8_packing, op9_quality)
 }
