@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, line_dedup, packing, quality, sharding, simhash, suffix_tree, toxicity
+from tidemark.llm import decontaminate, langid, lattice, line_dedup, packing, quality, sharding, simhash, suffix_tree, toxicity
 from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,22 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model).drop("text")
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_sharding, op4_simhash, op5_toxicity, op6_decontaminate, op7_lm_scoring, op8_packing, op9_quality)
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_line_dedup,
+        op3_sharding,
+        op4_simhash,
+        op5_toxicity,
+        op6_decontaminate,
+        op7_lm_scoring,
+        op8_packing,
+        op9_quality,
+        op10_embedding_dedup,
+    )
 }
