@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import free_name
+from tidemark.llm.samples import likely
 
 UNKNOWN = "und"
 #: Bound of the sample that the dictionaries are made of: rows of each language, and their bytes.
@@ -39,7 +40,7 @@ def learn_dictionaries(
     """A raw-content dictionary for each language: whole texts of a sample, up to ``size`` bytes.
 
     The sample is bounded: of each language the ``rows`` texts, of at most a quarter of
-    ``size`` each, with the smallest hash of their text. Texts that repeat count once. Rows
+    ``size`` each, with the lowest hash of their text. Texts that repeat count once. Rows
     without text or language teach nothing. The sample, at most rows x size / 4 bytes a
     language, is the only thing that reaches the driver. Languages come by falling number of
     rows, then by name, and ties between them go to the first.
@@ -47,16 +48,20 @@ def learn_dictionaries(
     short = labelled.filter(
         f"`{lang}` is not null and length(trim(`{text}`)) > 0 and octet_length(`{text}`) <= {size // 4}"
     ).select(F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
-    names = [
-        r["lang"]
-        for r in labelled.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).count()
-        .orderBy(F.desc("count"), "lang").collect()
-    ]
-    # Only hashes go through the ranking; the texts of those that are chosen are fetched after.
+    counts = {
+        r["lang"]: r["count"]
+        for r in labelled.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).count().collect()
+    }
+    names = sorted(counts, key=lambda n: (-counts[n], n))
+    sizes = labelled.sparkSession.createDataFrame(list(counts.items()), "lang string, size long")
+    # Only hashes go through the ranking, and few of them; the texts of those that are chosen are fetched after.
     chosen = (
         short.select("lang", "h")
+        .join(F.broadcast(sizes), "lang")
+        .filter(likely(F.col("h"), rows, F.col("size")))
+        .select("lang", "h")
         .distinct()
-        .withColumn("n", F.expr("row_number() over (partition by lang order by h)"))
+        .withColumn("n", F.expr("row_number() over (partition by lang order by pmod(h, 1099511627776), h)"))
         .filter(F.col("n") <= rows)
         .drop("n")
     )
