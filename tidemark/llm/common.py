@@ -30,19 +30,23 @@ def remainder(key: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which all executors share.
+
+    Only a session without that setting falls back to its warehouse, which they share as well.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and go on from there.
 
-    The files survive lost executors, so nothing above is run again. The folder is the one that
-    ``spark.checkpoint.dir`` names; only a session without that setting falls back to its
-    warehouse, which executors share as well.
+    The files survive lost executors, so nothing above is run again.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(
-            named or df.sparkSession.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        )
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
