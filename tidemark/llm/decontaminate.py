@@ -79,7 +79,7 @@ def scan(
         )
     )
     # Where a run of hashes begins: after the marker and the runs of smaller lengths.
-    begins = "case b_length"
+    begins = "case b_length when 0 then 0"
     for k, n in enumerate(lengths):
         begins += f" when {n} then 1" + "".join(f" + greatest(size(w) - {m - 1}, 0)" for m in lengths[:k])
     pos = f"at - ({begins} else 0 end)"
