@@ -109,9 +109,9 @@ class Classifier:
         The margin is what the best saves of the second-best size. The score, 0 to 1, is the
         winner's share if each byte less in a block of average length doubles a language's odds.
         """
-        data = letters(text) if text and self.names else b""
-        if not data:
+        if not text or not self.names or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, 0.0, True
+        data = letters(text)
         blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
         sizes = np.array([sum(len(c.compress(b)) for b in blocks) for c in self.compressors], dtype=float)
         best = int(sizes.argmin())
