@@ -66,8 +66,10 @@ def comparable(df: DataFrame) -> DataFrame:
 
 @query
 def bronze_stocks_scan(t):
-    """Daily bars, ticker and date first."""
-    return _exact_bars(feeds.bars(t))
+    """Daily bars as landed frames, appended and brought to the landed types."""
+    landed = feeds.bars(t)
+    typed = landing.bars_scan(ingest.append_frames([landed], landed.schema, t.spark))
+    return _exact_bars(typed)
 
 
 def _exact_bars(df: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ def _exact_bars(df: DataFrame) -> DataFrame:
 @query
 def bronze_wide_to_long(t):
     """Bars laid out one column per field and ticker, turned back into rows."""
-    return landing.wide_to_long(feeds.wide_bars(t), feeds.TICKERS)
+    return landing.wide_to_long(feeds.wide_bars(t))
 
 
 @query
@@ -128,7 +130,7 @@ def insider_payload_flatten(t):
 @query
 def insider_date_window(t):
     """Trades of the day before."""
-    keyed = landing.key_insider(feeds.insider_records(t, priorities=None))
+    keyed = landing.key_insider(feeds.insider_records(t))
     return selection.trades_of_yesterday(keyed, TRADES_AS_OF)
 
 
@@ -229,19 +231,33 @@ def bronze_constraints_news(t):
 
 @query
 def bronze_constraints_insider(t):
-    """Trades of all orders with the priority as code: long codes are refused, prices rounded."""
-    records = feeds.insider_records(t, code="o_orderpriority", priorities=None)
-    rows = landing.key_insider(records.withColumn("transactionPrice", F.col("transactionPrice") / 8))
+    """Trades with the priority as code: long codes are refused, and prices of six decimals, at
+    a tie or just below it, rounded once."""
+    records = feeds.insider_records(t, code="o_orderpriority")
+    millionths = F.round(F.col("transactionPrice") * 100).cast("bigint") * 10_000 + 5_000
+    near_tie = (millionths - F.col("l_linenumber") % 2) / 1_000_000
+    rows = landing.key_insider(records.withColumn("transactionPrice", near_tie))
     broken = ingest.violations(rows, ingest.INSIDER_CONSTRAINTS)
     return ingest.INSIDER_CONSTRAINTS.store_types(broken).select(
         "hash", "transaction_code", "transaction_price", "broken_rule"
     )
 
 
+@query
+def strict_batch_refusal(t):
+    """Articles of each company and day as a batch of a strict run: one long label refuses all."""
+    day = F.to_date(F.col("ts") - F.expr(feeds.EVENT_SHIFT)).cast("string")
+    labelled = feeds.articles(t).withColumn("sentiment", F.concat("event_type", F.lit(" news")))
+    rows = landing.key_news(labelled, keep=("event_id", "event_type", "ts")).filter("title is not null")
+    batches = rows.withColumn("batch", F.concat_ws("/", "company", day))
+    stored = ingest.strict_batches(batches, "batch", ingest.NEWS_CONSTRAINTS)
+    return stored.select("batch", "event_id")
+
+
 @query
 def insider_date_parse(t):
     """Dates from text; rejected trades (no change) come without a filing date."""
-    records = feeds.insider_records(t, priorities=None)
+    records = feeds.insider_records(t)
     filing = F.when(F.col("change") != 0, F.col("filingDate"))
     return records.select(
         "l_orderkey",
@@ -253,9 +269,9 @@ def insider_date_parse(t):
 
 @query
 def sentiment_label(t):
-    """A label for each whole English document."""
-    english = t["documents"].filter(F.col("lang") == "en").select("doc_id", "text")
-    return label_with_lexicon(english, LEXICON, text="text").select("doc_id", "sentiment")
+    """A label for each whole document."""
+    documents = t["documents"].select("doc_id", "text")
+    return label_with_lexicon(documents, LEXICON, text="text").select("doc_id", "sentiment")
 
 
 @query
@@ -501,6 +517,13 @@ def dq_unique(t):
     return quality.check_unique(_gold(t))
 
 
+@query
+def dq_unique_quotes(t):
+    """The same check over the raw quotes, of which many share a ticker and day."""
+    quotes = feeds.quotes(t).withColumn("trading_date", F.to_date("date"))
+    return quality.duplicate_keys(quotes, quality.PRICE_CHECKS)
+
+
 @query
 def dq_not_null_key(t):
     """Gold rows whose key is incomplete."""

@@ -19,10 +19,8 @@ from tidemark.sources.landing import key_bars, key_insider, key_news
 
 # Fixed values of the mapping.
 BRAND_PREFIX, TICKER_PREFIX = "Brand#", "tk"
-TICKERS = tuple(f"TK{n}" for n in range(1, 26))
 COMPANIES = 27
 EVENT_SHIFT = "INTERVAL '9496' DAY"
-URGENT = "1-URGENT"
 TEXTLESS_BELOW = 10
 LABEL_OF_EVENT = {
     "purchase": "good", "signup": "good", "error": "bad", "click": "neutral", "view": "neutral",
@@ -109,17 +107,19 @@ def quotes(tables: Tables) -> DataFrame:
 
 
 def wide_bars(tables: Tables) -> DataFrame:
-    """The bars as one row per date with columns named ``field|ticker``. The ticker list is
-    given, so the pivot needs no job of its own."""
+    """The bars as one row per date with columns named ``field|ticker``, for every ticker that
+    the part table lists."""
     fields = ("close", "high", "low", "open", "volume")
+    listed = tables["part"].select(_ticker().alias("ticket")).filter("ticket is not null").distinct()
+    tickers = sorted(r["ticket"] for r in listed.collect())
     wide = (
         bars(tables)
         .groupBy("date")
-        .pivot("ticket", list(TICKERS))
+        .pivot("ticket", tickers)
         .agg(*[F.max(f).alias(f) for f in fields])
     )
     return wide.select(
-        "date", *[F.col(f"{t}_{f}").alias(f"{f}|{t}") for t in TICKERS for f in fields]
+        "date", *[F.col(f"{t}_{f}").alias(f"{f}|{t}") for t in tickers for f in fields]
     )
 
 
@@ -137,16 +137,14 @@ def insider_records(
     tables: Tables,
     name: str = "c_name",
     code: str = "l_linestatus",
-    priorities: tuple[str, ...] | None = (URGENT,),
 ) -> DataFrame:
-    """Line items as flattened insider records, with their arrival order."""
+    """Line items as flattened insider records, with their arrival order. A trade is dated by
+    its order, so that some bars have no trade of their day."""
     orders = tables["orders"]
-    if priorities is not None:
-        orders = orders.filter(F.col("o_orderpriority").isin(*priorities))
     buyers = tables["customer"]
     filed = orders.join(buyers, orders.o_custkey == buyers.c_custkey)
     lines = _lines(tables)
-    day = F.col("l_shipdate").cast("date")
+    day = F.col("o_orderdate").cast("date")
     return lines.join(filed, lines.l_orderkey == filed.o_orderkey).select(
         F.col("ticket").alias("symbol"),
         F.col(name).alias("name"),

@@ -62,17 +62,18 @@ class Constraints:
             for c, n in self.max_length.items()
         ]
         rules += [
-            F.when(
-                F.abs(F.round(F.col(c), scale)) >= F.lit(10 ** (precision - scale)),
-                F.lit(f"{c} out of range"),
-            )
-            for c, (precision, scale) in self.decimals.items()
+            F.when(F.col(c).isNotNull() & self._stored(c).isNull(), F.lit(f"{c} out of range"))
+            for c in self.decimals
         ]
         return F.array_compact(F.array(*rules))
 
+    def _stored(self, column: str) -> Column:
+        """The value as the table holds it, rounded once; NULL if it is out of range."""
+        return F.col(column).try_cast(T.DecimalType(*self.decimals[column]))
+
     def store_types(self, df: DataFrame) -> DataFrame:
         """Round the numeric columns to their stored scale."""
-        casts = {c: F.col(c).cast(T.DecimalType(p, s)) for c, (p, s) in self.decimals.items()}
+        casts = {c: self._stored(c) for c in self.decimals}
         return df.withColumns(casts) if casts else df
 
 
@@ -119,6 +120,14 @@ def refuse_broken(df: DataFrame) -> None:
         raise RejectedBatch(f"batch rejected: {', '.join(bad[0][BROKEN])}")
 
 
+def strict_batches(df: DataFrame, batch: str, constraints: Constraints) -> DataFrame:
+    """The rows that strict runs store when each value of ``batch`` is a run of its own: those of
+    batches without a broken row. What is shuffled of the judgement is one row per bad batch
+    and task."""
+    bad = df.filter(F.size(constraints.broken_rules()) > 0).select(batch).distinct()
+    return constraints.store_types(df.join(bad, batch, "left_anti"))
+
+
 def counts_by(df: DataFrame, column: str) -> DataFrame:
     """Run summary: rows per value, most frequent first; NULL is not counted."""
     return (

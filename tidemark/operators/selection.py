@@ -31,15 +31,18 @@ def last_sessions(
 ) -> DataFrame:
     """The newest ``n`` sessions of each ticker, with all rows of those sessions.
 
-    Spark limits each map task to its own newest ``n`` sessions before the shuffle, so a hot
-    ticker sends only candidates to its window task.
+    Sessions are made distinct first and ranked without their rows, so no task meets all quotes
+    of a hot ticker; the rows join on (ticker, session). Undated rows are one session, the last.
     """
-    newest_first = Window.partitionBy(ticket).orderBy(F.col(date).desc_nulls_last())
-    return (
-        df.withColumn("_session", F.dense_rank().over(newest_first))
+    newest_first = Window.partitionBy("_ticket").orderBy(F.col("_date").desc_nulls_last())
+    sessions = (
+        df.select(F.col(ticket).alias("_ticket"), F.col(date).alias("_date"))
+        .distinct()
+        .withColumn("_session", F.row_number().over(newest_first))
         .filter(F.col("_session") <= n)
-        .drop("_session")
     )
+    same = F.col(ticket).eqNullSafe(F.col("_ticket")) & F.col(date).eqNullSafe(F.col("_date"))
+    return df.join(sessions, same, "left_semi")
 
 
 def newest_articles(

@@ -58,13 +58,13 @@ STEPS = {
         SELECT ticket AS symbol, c_name AS name, c_mktsegment AS segment, o_orderpriority AS priority,
                size AS share,
                CASE l_returnflag WHEN 'R' THEN -size WHEN 'N' THEN size ELSE 0 END AS change,
-               day + 2 AS filing_date, day AS transaction_date,
+               CAST(o_orderdate AS DATE) + 2 AS filing_date, CAST(o_orderdate AS DATE) AS transaction_date,
                CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, l_linestatus AS code, lines.*
         FROM lines JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
     "insider_keyed": """
         SELECT md5(symbol || '_' || name || '_' || CAST(transaction_date AS VARCHAR) || '_' || change
                    || '_' || share) AS hash, *
-        FROM trades WHERE priority = '1-URGENT'""",
+        FROM trades""",
     "bronze_insider": """
         SELECT * FROM (
             SELECT *, row_number() OVER (PARTITION BY hash ORDER BY l_orderkey, l_linenumber, l_suppkey,
@@ -230,7 +230,7 @@ def _pearson(x: str, y: str) -> str:
     xs = f"CAST(CASE WHEN {y} IS NOT NULL THEN {x} END AS DOUBLE)"
     ys = f"CAST(CASE WHEN {x} IS NOT NULL THEN {y} END AS DOUBLE)"
     return f"""CASE WHEN min({xs}) < max({xs}) AND min({ys}) < max({ys})
-        THEN round(covar_pop({xs}, {ys}) / nullif(stddev_pop({xs}) * stddev_pop({ys}), 0), 6) END"""
+        THEN round(corr({xs}, {ys}), 6) END"""
 
 
 def _answer(text: str, good: tuple[str, ...], bad: tuple[str, ...]) -> str:
@@ -368,7 +368,7 @@ ORACLE: dict[str, str] = {
             " || '_' || share)",
             "l_linestatus = 'F'",
             LINE_ORDER,
-        ).replace("FROM trades)", "FROM trades WHERE priority = '1-URGENT')"),
+        ),
         "trades",
     ),
     "bronze_constraints_news": _with(
@@ -380,11 +380,18 @@ ORACLE: dict[str, str] = {
     "bronze_constraints_insider": _with(
         f"""SELECT md5(symbol || '_' || name || '_' || CAST(transaction_date AS VARCHAR) || '_' || change
                       || '_' || share) AS hash, priority AS transaction_code,
-                  CAST({_half_away('cents', '8')} AS DOUBLE) / 100 AS transaction_price,
+                  CAST({_half_away('cents * 10000 + 5000 - l_linenumber % 2', '10000')} AS DOUBLE) / 100 AS transaction_price,
                   'transaction_code longer than 10' AS broken_rule
            FROM trades WHERE length(priority) > 10""",
         "trades",
     ),
+    "strict_batch_refusal": _with(
+        """SELECT company || '/' || CAST(CAST(published_at AS DATE) AS VARCHAR) AS batch, event_id FROM articles
+           WHERE title IS NOT NULL AND (company, CAST(published_at AS DATE)) NOT IN (
+               SELECT (company, CAST(published_at AS DATE)) FROM articles
+               WHERE title IS NOT NULL AND length(event_type || ' news') > 10)""",
+        "articles",
+    ),
     "insider_date_parse": _with(
         """SELECT l_orderkey, l_linenumber, CASE WHEN change <> 0 THEN filing_date END AS filing_date,
                   transaction_date
@@ -393,7 +400,7 @@ ORACLE: dict[str, str] = {
     ),
     "sentiment_label": f"""
         SELECT doc_id, {_answer('text', ('is', 'of', 'with', 'there'), ('and', 'to', 'was', 'what'))} AS sentiment
-        FROM documents WHERE lang = 'en'""",
+        FROM documents""",
     "sentiment_normalise": """
         SELECT event_id, CASE event_type WHEN 'purchase' THEN 'good' WHEN 'error' THEN 'bad'
                          WHEN 'signup' THEN 'mixed' ELSE 'neutral' END AS sentiment
@@ -520,6 +527,9 @@ ORACLE: dict[str, str] = {
         ),
         "gold_insider", "gold_news", "gold_price",
     ),
+    "dq_unique_quotes": _with(
+        _duplicates("lines", "stock_transations", "ticket", "day"), "lines"
+    ),
     "dq_not_null_key": _with(
         " UNION ALL ".join(
             [

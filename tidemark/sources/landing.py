@@ -60,13 +60,14 @@ def bars_scan(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def wide_to_long(
-    df: DataFrame, tickets: Iterable[str], date: str = "date", fields: Sequence[str] = BAR_FIELDS
+    df: DataFrame, tickets: Iterable[str] | None = None, date: str = "date", fields: Sequence[str] = BAR_FIELDS
 ) -> DataFrame:
     """Turn columns named ``field|ticker`` into one row per ticker and date.
 
     Each wide row is expanded in place (no shuffle); a ticker without any value on a date
-    gives no row.
+    gives no row. Without a list, all tickers that the columns name are taken.
     """
+    tickets = wide_tickets(df) if tickets is None else tickets
 
     def bar(ticket: str) -> Column:
         values = [F.col(f"`{f}|{ticket}`").alias(f) for f in fields]
@@ -78,6 +79,11 @@ def wide_to_long(
     )
 
 
+def wide_tickets(df: DataFrame) -> list[str]:
+    """The tickers that the columns of a wide frame name, in order."""
+    return list(dict.fromkeys(c.split("|", 1)[1] for c in df.columns if "|" in c))
+
+
 def _payload(text: Column, schema: T.StructType) -> Column:
     with_reject = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return F.from_json(text, with_reject, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
@@ -178,7 +184,7 @@ def key_insider(
     df: DataFrame, keep: Sequence[str] = (), dirty_dates: bool = False
 ) -> DataFrame:
     """Flattened insider records as rows for bronze.insider_transactions. The price keeps its
-    landed type here; the table's constraints round it."""
+    landed type here; the table's constraints round it, once."""
     return df.select(
         keys.insider_key(
             F.col("symbol"), F.col("name"), F.col("transactionDate"), F.col("change"), F.col("share")
@@ -189,7 +195,7 @@ def key_insider(
         "change",
         parse_date(F.col("filingDate"), dirty_dates).alias("filing_date"),
         parse_date(F.col("transactionDate"), dirty_dates).alias("transaction_date"),
-        F.col("transactionPrice").cast("decimal(20,4)").alias("transaction_price"),
+        F.col("transactionPrice").alias("transaction_price"),
         F.col("transactionCode").alias("transaction_code"),
         *keep,
     )
