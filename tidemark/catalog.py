@@ -349,13 +349,12 @@ def build_layers(t):
 
 # --- Gold -------------------------------------------------------------------------------
 
-PRICE_KEY = ("ticket", "trading_date")
 NEWS_KEY = ("ticket", "news_date")
 INSIDER_KEY = ("symbol", "transaction_date")
 
 
-def _price(t: Tables) -> DataFrame:
-    return gold_price.price_indicators(_silver(t).stocks)
+def _price(t: Tables, *wanted: str) -> DataFrame:
+    return gold_price.price_indicators(_silver(t).stocks, wanted or gold_price.EVERY)
 
 
 def _news(t: Tables) -> DataFrame:
@@ -375,53 +374,49 @@ def gold_price_all(t):
 @query
 def gold_price_change(t):
     """Close against the row before."""
-    return _price(t).select(
-        *PRICE_KEY, "close_price", "close_price_yesterday", "price_change_1d", "price_change_pct_1d"
-    )
+    return _price(t, "close_price", "close_price_yesterday", "price_change_1d", "price_change_pct_1d")
 
 
 @query
 def gold_volume_change(t):
     """Volume against the row before."""
-    return _price(t).select(*PRICE_KEY, "trade_volume", "volume_1d", "volume_change_1d")
+    return _price(t, "trade_volume", "volume_1d", "volume_change_1d")
 
 
 @query
 def gold_moving_avg(t):
     """Five-row averages."""
-    return _price(t).select(*PRICE_KEY, "ma5_close_price", "ma5_volume")
+    return _price(t, "ma5_close_price", "ma5_volume")
 
 
 @query
 def gold_rolling_extrema(t):
     """Five-row extremes."""
-    return _price(t).select(
-        *PRICE_KEY, "max_5d_close_price", "min_5d_close_price", "min_5d_low_price", "max_5d_volume"
-    )
+    return _price(t, "max_5d_close_price", "min_5d_close_price", "min_5d_low_price", "max_5d_volume")
 
 
 @query
 def gold_range_position(t):
     """Width of the five-row range and the close's place in it."""
-    return _price(t).select(*PRICE_KEY, "price_range_5d", "price_percentile_5d")
+    return _price(t, "price_range_5d", "price_percentile_5d")
 
 
 @query
 def gold_volatility(t):
     """Five-row sample deviation."""
-    return _price(t).select(*PRICE_KEY, "stddev_5d_close_price")
+    return _price(t, "stddev_5d_close_price")
 
 
 @query
 def gold_ma_distance(t):
     """Distance from the five-row average."""
-    return _price(t).select(*PRICE_KEY, "distance_from_ma5", "distance_pct_from_ma5")
+    return _price(t, "distance_from_ma5", "distance_pct_from_ma5")
 
 
 @query
 def gold_direction(t):
     """Up, down or unchanged."""
-    return _price(t).select(*PRICE_KEY, "price_direction_1d")
+    return _price(t, "price_direction_1d")
 
 
 @query
@@ -545,12 +540,12 @@ def dq_accepted_values(t):
 # --- Analysis ---------------------------------------------------------------------------
 
 
-def _master(t: Tables) -> DataFrame:
-    return analysis.master_merge(_gold(t))
+def _master(t: Tables, *price_columns: str) -> DataFrame:
+    return analysis.master_merge(gold_plan.build(_silver(t), price_columns or gold_price.EVERY))
 
 
-def _target(t: Tables) -> DataFrame:
-    return analysis.master_merge(gold_plan.build(analysis.for_target(_silver(t))))
+def _target(t: Tables, *price_columns: str) -> DataFrame:
+    return analysis.master_merge(gold_plan.build(analysis.for_target(_silver(t)), price_columns))
 
 
 @query
@@ -570,19 +565,19 @@ def target_ticker(t):
 @query
 def series_price_sentiment(t):
     """Target ticker: close and sentiment score."""
-    return analysis.price_and_sentiment(_target(t))
+    return analysis.price_and_sentiment(_target(t, "close_price"))
 
 
 @query
 def series_price_insider(t):
     """Target ticker: close and insider flow with its side."""
-    return analysis.price_and_insider(_target(t))
+    return analysis.price_and_insider(_target(t, "close_price"))
 
 
 @query
 def correlation_matrix(t):
     """Target ticker: Pearson matrix of five factors."""
-    return analysis.correlation_matrix(_target(t))
+    return analysis.correlation_matrix(_target(t, "close_price", "volume_1d", "price_change_pct_1d"))
 
 
 @query
@@ -595,25 +590,25 @@ def insider_totals(t):
 def box_stats(t):
     """Box of the daily change per sentiment intensity."""
     rounded = ("q1", "median", "q3", "whisker_low", "whisker_high")
-    return analysis.box_stats(_master(t)).withColumns({c: F.round(c, 6) for c in rounded})
+    return analysis.box_stats(_master(t, "price_change_pct_1d")).withColumns({c: F.round(c, 6) for c in rounded})
 
 
 @query
 def box_outliers(t):
     """Days outside the box's fences."""
-    return analysis.box_outliers(_master(t))
+    return analysis.box_outliers(_master(t, "price_change_pct_1d"))
 
 
 @query
 def scatter_news_volume(t):
     """News count against volume change."""
-    return analysis.news_volume_points(_master(t))
+    return analysis.news_volume_points(_master(t, "volume_change_1d"))
 
 
 @query
 def hype_correlation(t):
     """Correlation of news count and volume, overall and per ticker."""
-    return analysis.hype_correlation(_master(t))
+    return analysis.hype_correlation(_master(t, "trade_volume"))
 
 
 @query
@@ -631,4 +626,4 @@ def contrarian_buys(t):
 @query
 def dispersion_by_intensity(t):
     """Spread of the daily change per sentiment intensity."""
-    return analysis.dispersion_by_intensity(_master(t))
+    return analysis.dispersion_by_intensity(_master(t, "price_change_pct_1d"))

@@ -61,15 +61,14 @@ def for_target(silver: Silver, preferred: str = PREFERRED_TICKER) -> Silver:
     """The silver feeds of the target ticker only.
 
     Every gold window runs within a ticker, so the filter may go below them: the other
-    tickers are dropped before any shuffle. The broadcast side is a single row by its LIMIT.
+    tickers are dropped before any shuffle. The broadcast side is a single row by its LIMIT,
+    found once for all three joins.
     """
-    one = F.broadcast(target_ticker(silver.stocks, preferred))
+    one = F.broadcast(target_ticker(silver.stocks, preferred).withColumnRenamed("ticket", "_target"))
     return Silver(
-        stocks=silver.stocks.join(one, "ticket", "left_semi"),
-        news=silver.news.join(one, "ticket", "left_semi"),
-        insider=silver.insider.join(
-            one.withColumnRenamed("ticket", "symbol"), "symbol", "left_semi"
-        ),
+        stocks=silver.stocks.join(one, F.col("ticket") == F.col("_target"), "left_semi"),
+        news=silver.news.join(one, F.col("ticket") == F.col("_target"), "left_semi"),
+        insider=silver.insider.join(one, F.col("symbol") == F.col("_target"), "left_semi"),
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 
 from tidemark.functions.numeric import ratio_pct, safe_divide, sign_flag
@@ -52,23 +55,38 @@ INDICATORS = {
 }
 
 
-def price_indicators(silver_stocks: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
-    """Daily change, five-row averages, extremes, range position, volatility and direction."""
+KEY = ("ticket", "trading_date")
+CARRIED = ("close_price", "low_price", "trade_volume")
+EVERY = (*CARRIED, "close_price_yesterday", *INDICATORS)
+
+
+def _named(texts: Iterable[str], names: Iterable[str]) -> list[str]:
+    """The names that the SQL texts mention, in the order of ``names``."""
+    words = set(re.findall(r"\w+", " ".join(texts)))
+    return [n for n in names if n in words]
+
+
+def price_indicators(
+    silver_stocks: DataFrame, wanted: Iterable[str] = EVERY, chunk_days: int = CHUNK_DAYS
+) -> DataFrame:
+    """Daily change, five-row averages, extremes, range position, volatility and direction.
+
+    ``wanted`` names the columns beside ticker and date. Only the windows and carried columns
+    that they rest on are computed. So a chunk's rows and its lead-in need the same columns,
+    and the bars below both are evaluated once.
+    """
+    wanted = list(wanted)
+    sql = [INDICATORS.get(name, name) for name in wanted]
+    columns = {n: WINDOWED[n] for n in _named(sql, WINDOWED)}
+    if not columns:
+        return silver_stocks.select(*KEY, *wanted)
     framed = chunked(
         silver_stocks,
         key="ticket",
         date="trading_date",
         tiebreak="stock_hash",
-        carry=("close_price", "low_price", "trade_volume"),
-        columns=WINDOWED,
+        carry=_named([*sql, *columns.values()], CARRIED),
+        columns=columns,
         chunk_days=chunk_days,
     )
-    return framed.selectExpr(
-        "ticket",
-        "trading_date",
-        "close_price",
-        "low_price",
-        "trade_volume",
-        "close_price_yesterday",
-        *[f"{sql} AS {name}" for name, sql in INDICATORS.items()],
-    )
+    return framed.selectExpr(*KEY, *[f"{text} AS {name}" for text, name in zip(sql, wanted)])
