@@ -60,7 +60,54 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN items USING (doc_id) LEFT JOIN words USING (doc_id)
 """
 
+# CRC-32 is folded over the bytes of each text with the usual table of 256 remainders.
+SHARDING = """
+WITH crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n)
+),
+sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+         xor(list_reduce(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+             lambda c, h: xor(c >> 8, t[(xor(c, CAST('0x' || h AS BIGINT)) & 255) + 1]), 4294967295), 4294967295) AS text_crc32
+  FROM documents, crc_table
+),
+scores AS (
+  SELECT doc_id, s, 1 / -ln((CAST('0x' || left(md5(doc_id || ':' || s), 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496) AS score
+  FROM documents, (SELECT unnest(range(9)) AS s)
+),
+chosen AS (
+  SELECT doc_id, arg_max(s, (score, -s)) FILTER (s < 8) AS shard, arg_max(s, (score, -s)) AS grown_shard
+  FROM scores GROUP BY doc_id
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(doc_id || ':' || text_crc32)) - 1 AS slot,
+       grown_shard::INT AS grown_shard
+FROM sized JOIN chosen USING (doc_id)
+"""
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL
+    AND list_aggregate(list_transform(embedding, lambda x: abs(x::DOUBLE)), 'max') > 0
+    AND list_count(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+),
+first AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM first LEFT JOIN counts USING (vec_id)
+"""
+
 SQL: dict[str, str] = {
     "op2_line_dedup": LINE_DEDUP,
+    "op3_sharding": SHARDING,
     "op6_decontaminate": DECONTAMINATE,
+    "op10_embedding_dedup": EMBEDDING_DEDUP,
 }
