@@ -47,13 +47,13 @@ def test_bars_of_several_file_sets(spark, rows, folder):
 def test_bars_in_every_format(spark, rows, folder, fmt):
     full = rows([("META", dt.datetime(2024, 1, 2), 1.5, 2.0, 1.0, 1.0, 10)], BAR)
     full.write.format(fmt).option("header", True).save(folder)
-    assert landing.read_bars(spark, [folder], fmt).drop(landing.LANDED).collect() == full.collect()
+    assert landing.read_bars(spark, [folder], fmt).drop(landing.LANDED, landing.POSITION).collect() == full.collect()
 
 
 def test_no_bars_at_all_is_an_empty_frame(spark):
     got = landing.read_bars(spark, [])
     assert got.count() == 0
-    assert got.columns == [*schemas.LANDED_BARS.fieldNames(), landing.LANDED]
+    assert got.columns == [*schemas.LANDED_BARS.fieldNames(), landing.LANDED, landing.POSITION]
 
 
 def test_wide_to_long_skips_absent_tickers(rows):
@@ -308,7 +308,8 @@ def test_classifier_failures_and_missing_texts_are_neutral(rows):
         return classify
 
     df = rows([(1, "up"), (2, "up"), (3, "fail"), (4, None), (5, "hm"), (6, None)], "i int, description string")
-    got = {r.i: r.sentiment for r in labelling.label_with_classifier(df, flaky).collect()}
+    one_by_one = labelling.one_by_one(flaky)
+    got = {r.i: r.sentiment for r in labelling.label_with_classifier(df, one_by_one, tasks=2).collect()}
     assert got == {1: "good", 2: "good", 3: "neutral", 4: "neutral", 5: "mixed", 6: "neutral"}
 
 
@@ -323,10 +324,33 @@ def test_each_distinct_text_is_asked_once(spark, rows):
         return classify
 
     df = rows([(i, f"text {i % 3}") for i in range(30)], "i int, description string")
-    assert labelling.label_with_classifier(df, counting).filter("sentiment = 'good'").count() == 30
+    one_by_one = labelling.one_by_one(counting)
+    assert labelling.label_with_classifier(df, one_by_one, tasks=2).filter("sentiment = 'good'").count() == 30
     assert asked.value == 3
 
 
+def test_batches_of_texts_in_several_tasks(spark, rows):
+    def failing():
+        def answer(texts):
+            if texts.str.contains("fail").any():
+                raise RuntimeError("no answer")
+            return texts.str.upper()
+
+        return answer
+
+    tasks = spark.sparkContext.accumulator(0)
+
+    def counting():
+        tasks.add(1)
+        return lambda texts: texts.map(lambda t: "good")
+
+    df = rows([(i, f"text {i}") for i in range(40)], "i int, description string")
+    assert labelling.label_with_classifier(df, counting, tasks=4).filter("sentiment = 'good'").count() == 40
+    assert tasks.value == 4
+    few = rows([(1, "good"), (2, "fail")], "i int, description string")
+    assert {r.sentiment for r in labelling.label_with_classifier(few, failing, tasks=1).collect()} == {"neutral"}
+
+
 def test_only_new_rows_are_labelled(spark, layers, rows):
     asked = spark.sparkContext.accumulator(0)
 
@@ -338,7 +362,7 @@ def test_only_new_rows_are_labelled(spark, layers, rows):
         return classify
 
     def label(df):
-        return labelling.label_with_classifier(df.drop("sentiment"), counting)
+        return labelling.label_with_classifier(df.drop("sentiment"), labelling.one_by_one(counting), tasks=2)
 
     layers.append_new(pipeline.NEWS, rows([news_row("1"), news_row("2")], NEWS), ["url"], label=label)
     layers.append_new(pipeline.NEWS, rows([news_row("2"), news_row("3")], NEWS), ["url"], label=label)

@@ -30,7 +30,7 @@ def land_news(path):
     for company, verb in (("Meta", "surges"), ("Nvidia", "falls"), ("Nobody", "wins")):
         (path / f"company={company}").mkdir(parents=True)
         articles = [
-            {"url": f"u{i}", "title": f"t{i}", "description": f"{company} {verb} {i}",
+            {"url": f"https://www.cnbc.com/u{i}", "title": f"t{i}", "description": f"{company} {verb} {i}",
              "publishedAt": f"2024-01-{3 + i:02}T10:00:00Z"}
             for i in range(4)
         ]
@@ -107,7 +107,7 @@ def test_date_windows(spark, root, tmp_path):
     land_insider(tmp_path / "insider")
     as_of = dt.date(2024, 1, 7)
     payloads = landing.read_payloads(spark, str(tmp_path / "news"))
-    assert ingestion.ingest_news(layers, payloads, ["Meta"], as_of, per_company=30) is None
+    assert ingestion.ingest_news(layers, payloads, ["Meta"], as_of, per_page=30) is None
     assert layers.read("bronze", "news").count() == 1
     trades = landing.read_payloads(spark, str(tmp_path / "insider"))
     assert ingestion.ingest_insider(layers, trades, ["NVDA", "META"], as_of) is None
@@ -128,3 +128,105 @@ def test_csv_when_saving_is_off_or_fails(spark, rows, tmp_path):
 
     assert store_or_csv(rows([(1,)], "i int"), refuse, str(tmp_path / "other")) == "no"
     assert spark.read.option("header", True).csv(f"{tmp_path}/other/*").count() == 1
+
+
+def pulls(path, pages):
+    """Landed news documents of Meta: each page a list of article numbers."""
+    (path / "company=Meta").mkdir(parents=True)
+    for n, numbers in enumerate(pages):
+        articles = [
+            {"url": f"u{i}", "title": f"t{i}", "description": "Meta", "publishedAt": f"2024-01-01T00:{i:02}:00Z"}
+            for i in numbers
+        ]
+        (path / "company=Meta" / f"{n}.json").write_text(json.dumps({"status": "ok", "articles": articles}))
+
+
+@pytest.mark.parametrize(
+    ("pages", "stored"),
+    [([range(30), range(30, 60)], 60), ([range(30), range(30)], 30), ([[*range(30), *range(30)]], 30), ([range(31)], 30)],
+)
+def test_no_pull_takes_another_ones_place(spark, tmp_path, pages, stored):
+    pulls(tmp_path / "news", pages)
+    layers = Layers(spark, str(tmp_path / "layers"))
+    seen = []
+    payloads = landing.read_payloads(spark, str(tmp_path / "news"))
+    assert ingestion.ingest_news(layers, payloads, "all", report=lambda rows: seen.append(rows.count())) is None
+    assert layers.read("bronze", "news").count() == stored
+    assert seen == [sum(len(p) for p in pages)]
+
+
+def test_a_missed_run_loses_no_session(spark, tmp_path):
+    land_bars(tmp_path / "bars")
+    layers = Layers(spark, str(tmp_path / "layers"))
+    assert jobs.main(["stocks", "--root", layers.root, "--landing", str(tmp_path / "bars"), "--format", "csv", "--tickets", "all"], spark) == 0
+    assert layers.read("bronze", "stocks").count() == 30
+
+
+def test_request_of_a_day_is_matched(spark, tmp_path):
+    (tmp_path / "news" / "company=Meta").mkdir(parents=True)
+    def article(n, url="https://cnbc.com/a", text="Meta wins", day=6):
+        return {"url": url, "title": f"t{n}", "description": text, "publishedAt": f"2024-01-0{day}T10:00:00Z"}
+    listed = [article(1), article(2, url="https://other.com"), article(3, text="Apple wins"), article(4, day=5)]
+    (tmp_path / "news" / "company=Meta" / "1.json").write_text(json.dumps({"status": "ok", "articles": listed}))
+    layers = Layers(spark, str(tmp_path / "layers"))
+    payloads = landing.read_payloads(spark, str(tmp_path / "news"))
+    assert ingestion.ingest_news(layers, payloads, ["Meta"], dt.date(2024, 1, 7)) is None
+    assert [r.title for r in layers.read("bronze", "news").collect()] == ["t1"]
+
+
+def test_summary_counts_the_run_only(spark, tmp_path, capsys):
+    layers = Layers(spark, str(tmp_path / "layers"))
+    for day, pages in enumerate(([range(5)], [range(5, 8)])):
+        pulls(tmp_path / f"news{day}", pages)
+        assert jobs.main(["news", "--root", layers.root, "--landing", str(tmp_path / f"news{day}")], spark) == 0
+    shown = capsys.readouterr().out
+    assert "|Meta   |5        |" in shown and "|Meta   |3        |" in shown and "|Meta   |8        |" not in shown
+
+
+def test_skipped_payloads_are_recorded_once(spark, root):
+    skipped = Layers(spark, root).read("bronze", "news_skipped").collect()
+    assert [(r.company, r.reason) for r in skipped] == [("Apple", "corrupt")]
+
+
+def test_first_row_of_a_parquet_file_wins(spark, rows, tmp_path):
+    moment = dt.datetime(2024, 1, 1)
+    data = [("META", moment, c, c, c, c, 1) for c in (9.0, 5.0)]
+    ddl = "ticket string, date timestamp_ntz, close double, high double, low double, open double, volume bigint"
+    rows(data, ddl).coalesce(1).write.parquet(str(tmp_path / "bars"))
+    layers = Layers(spark, str(tmp_path / "layers"))
+    assert ingestion.ingest_stocks(layers, landing.read_bars(spark, [str(tmp_path / "bars")])) is None
+    assert [r.close for r in layers.read("bronze", "stocks").collect()] == [9.0]
+
+
+def test_price_is_rounded_once(rows):
+    from tidemark.operators.ingest import INSIDER_CONSTRAINTS
+
+    prices = [10.00499999, 10.005, -10.005, 99999999.994, 99999999.995, float("nan"), None]
+    df = rows([(str(i), p) for i, p in enumerate(prices)], "hash string, transaction_price double")
+    got = [r[0] and str(r[0]) for r in INSIDER_CONSTRAINTS.store_types(df).orderBy("hash").select("transaction_price").collect()]
+    assert got == ["10.00", "10.01", "-10.01", "99999999.99", None, None, None]
+
+
+def test_failed_rebuild_leaves_the_old_table(spark, rows, tmp_path):
+    layers = Layers(spark, str(tmp_path / "layers"))
+    layers.rebuild("silver", "t", rows([(1,)], "i int"))
+    broken = rows([(2,)], "i int").selectExpr("if(i = 2, raise_error('no'), i) as i")
+    with pytest.raises(Exception, match="no"):
+        layers.rebuild("silver", "t", broken)
+    assert [r.i for r in layers.read("silver", "t").collect()] == [1]
+    for n in (3, 4, 5):
+        assert [r.i for r in layers.rebuild("silver", "t", rows([(n,)], "i int")).collect()] == [n]
+    assert len(layers._builds("silver", "t")) == 2
+
+
+def test_build_registers_the_tables(spark, root):
+    assert spark.table("gold.stock_news").count() == Layers(spark, root).read("gold", "stock_news").count()
+    assert not any((Layers(spark, root)._folder(f"{root}/_staging/{t}")[0].listStatus(Layers(spark, root)._folder(f"{root}/_staging/{t}")[1])) for t in ("news", "payloads"))
+
+
+def test_a_bug_is_no_reason_for_csv(rows, tmp_path):
+    def wrong(df):
+        raise KeyError("a bug")
+
+    with pytest.raises(KeyError):
+        store_or_csv(rows([(1,)], "i int"), wrong, str(tmp_path / "other"))

@@ -17,11 +17,11 @@ from tidemark import feeds, schemas
 from tidemark.feeds import Tables
 from tidemark.functions import keys
 from tidemark.functions.sentiment import Lexicon, normalise_label
-from tidemark.operators import ingest, selection
+from tidemark.operators import ingest, labelling, selection
 from tidemark.operators.labelling import label_with_lexicon
 from tidemark.plans import analysis, gold_insider, gold_news, gold_price, pipeline, quality, silver
 from tidemark.plans import gold as gold_plan
-from tidemark.session import shared_dir
+from tidemark.session import lead_workers_here, shared_dir
 from tidemark.sources import landing, sinks
 from tidemark.sources.layers import Layers
 
@@ -121,6 +121,23 @@ def news_top30(t):
     return selection.newest_articles(keyed).select("hash", "company", "published_at", "title")
 
 
+@query
+def news_pages(t):
+    """Two overlapping pulls of each company and hour: every different article is stored once,
+    the newest 30 of each landed page."""
+    landed = feeds.articles(t).withColumn(
+        "pull", F.explode(F.expr("filter(array(0, 1), p -> event_id % 3 <> p)"))
+    )
+    hour = F.date_trunc("hour", "ts")
+    keyed = landing.key_news(
+        landed.withColumn("page", F.struct(hour.alias("hour"), "pull")), keep=("page", "event_id")
+    )
+    document = ("company", "page")
+    different = ingest.first_write_wins(keyed, ["event_id"], (*document, "hash"))
+    pages = selection.newest_articles(different, group=document)
+    return ingest.first_write_wins(pages, ["page", "event_id"]).select("hash", "company", "published_at")
+
+
 @query
 def insider_payload_flatten(t):
     """Records of the non-empty payloads, under the symbol that was asked for."""
@@ -146,13 +163,10 @@ def bronze_union_all(t):
 @query
 def payload_reject_split(t):
     """What became of each landed payload; corrupt and empty ones stop nothing."""
-    good, skipped = landing.split_payloads(
+    judged = landing.judge_payloads(
         feeds.news_payloads(t), "payload", schemas.NEWS_PAYLOAD, "articles"
     )
-    columns = ("event_id", "company", "outcome")
-    return (
-        good.withColumn("outcome", F.lit("good")).select(*columns).unionByName(skipped.select(*columns))
-    )
+    return judged.select("event_id", "company", "outcome")
 
 
 @query
@@ -274,6 +288,18 @@ def sentiment_label(t):
     return label_with_lexicon(documents, LEXICON, text="text").select("doc_id", "sentiment")
 
 
+def _by_length() -> labelling.Classifier:
+    return lambda texts: texts.str.len().mod(3).map({0: " Good", 1: "BAD\n", 2: "neutral"})
+
+
+@query
+def sentiment_classifier(t):
+    """A Python model's label for each whole document; this one answers by the text's length."""
+    lead_workers_here(t.spark)
+    documents = t["documents"].select("doc_id", "text")
+    return labelling.label_with_classifier(documents, _by_length, text="text").select("doc_id", "sentiment")
+
+
 @query
 def sentiment_normalise(t):
     """Raw answers stripped and lower-cased; off-list ones kept, missing ones neutral."""

@@ -1,8 +1,8 @@
 """The jobs as commands, for spark-submit or ``python -m tidemark.jobs``.
 
-    stocks  --root DIR --landing PATH [--format csv] [--sessions 1|all] [--tickets A,B]
-    news    --root DIR --landing PATH [--as-of 2024-01-02] [--companies A,B]
-    insider --root DIR --landing PATH [--as-of 2024-01-02] [--tickets A,B]
+    stocks  --root DIR --landing PATH [--format csv] [--sessions N|all] [--tickets A,B|all]
+    news    --root DIR --landing PATH [--as-of 2024-01-02] [--companies A,B|all] [--domains A,B]
+    insider --root DIR --landing PATH [--as-of 2024-01-02] [--tickets A,B|all]
     names   --root DIR --landing CSV          (the ticker map)
     build   --root DIR                        (silver and gold)
     check   --root DIR                        (exit code 1 when a quality check fails)
@@ -26,13 +26,15 @@ from tidemark.sources import landing
 from tidemark.sources.layers import Layers
 
 
-def _listed(text: str | None, default: tuple[str, ...]) -> list[str]:
+def _listed(text: str | None, default: tuple[str, ...]) -> list[str] | str:
+    if text == selection.EVERYONE:
+        return text
     return text.split(",") if text else list(default)
 
 
 def stocks(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
     bars = landing.read_bars(spark, args.landing.split(","), args.format)
-    sessions = None if args.sessions == "all" else int(args.sessions)
+    sessions = None if args.sessions == selection.EVERYONE else int(args.sessions)
     tickets = _listed(args.tickets, selection.DEFAULT_TICKETS)
     return _reported(ingestion.ingest_stocks(layers, bars, tickets, sessions))
 
@@ -40,12 +42,16 @@ def stocks(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int
 def news(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
     payloads = landing.read_payloads(spark, args.landing)
     companies = _listed(args.companies, selection.DEFAULT_COMPANIES)
-    status = _reported(ingestion.ingest_news(layers, payloads, companies, args.as_of))
-    if status == 0:
-        stored = layers.read(pipeline.BRONZE, pipeline.NEWS.name)
+    domains = _listed(args.domains, selection.DEFAULT_DOMAINS)
+
+    def summary(articles: DataFrame) -> None:
+        """Of this run's articles, copies included."""
         for column in ("company", "sentiment"):
-            counts_by(stored, column).show(truncate=False)
-    return status
+            counts_by(articles, column).show(truncate=False)
+
+    return _reported(
+        ingestion.ingest_news(layers, payloads, companies, args.as_of, domains=domains, report=summary)
+    )
 
 
 def insider(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
@@ -62,6 +68,7 @@ def names(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
 
 def build(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
     pipeline.build_layers(layers)
+    pipeline.register_layers(layers)
     pipeline.row_counts(layers).show(truncate=False)
     return 0
 
@@ -123,9 +130,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     parser.add_argument("--root", required=True, help="folder of the layers, shared by all executors")
     parser.add_argument("--landing", help="landed files")
     parser.add_argument("--format", default="parquet", help="format of landed bars")
-    parser.add_argument("--sessions", default=str(selection.SESSIONS_PER_PULL))
+    parser.add_argument("--sessions", default=selection.EVERYONE)
     parser.add_argument("--tickets")
     parser.add_argument("--companies")
+    parser.add_argument("--domains", help="sites of the news run with --as-of")
     parser.add_argument("--as-of", type=dt.date.fromisoformat)
     parser.add_argument("--ticker", default=analysis.PREFERRED_TICKER)
     args = parser.parse_args(argv)

@@ -19,13 +19,15 @@ def append_frames(frames: Sequence[DataFrame], schema: T.StructType, spark: Spar
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def first_write_wins(df: DataFrame, arrival: Sequence[str | Column], key: str = "hash") -> DataFrame:
+def first_write_wins(
+    df: DataFrame, arrival: Sequence[str | Column], key: str | Sequence[str] = "hash"
+) -> DataFrame:
     """One row per key: the earliest by ``arrival``.
 
     ``row_number() = 1`` lets Spark keep one row per key in each map task before the shuffle,
     so a key that holds a third of the batch sends one row per task, not all its copies.
     """
-    order = Window.partitionBy(key).orderBy(*arrival)
+    order = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*arrival)
     return (
         df.withColumn("_arrival", F.row_number().over(order))
         .filter(F.col("_arrival") == 1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +16,14 @@ DEFAULT_DOMAINS = ("bloomberg.com", "reuters.com", "cnbc.com", "techcrunch.com")
 DEFAULT_LANGUAGE = "en"
 ARTICLES_PER_COMPANY = 30
 SESSIONS_PER_PULL = 1
+EVERYONE = "all"
 
 
 def in_universe(df: DataFrame, column: str, members: Iterable[str] | DataFrame) -> DataFrame:
-    """Rows of the named entities. A list becomes a pushed-down IN, a table a semi join."""
+    """Rows of the named entities. A list becomes a pushed-down IN, a table a semi join, and
+    ``all`` takes whatever landed."""
+    if isinstance(members, str) and members == EVERYONE:
+        return df
     if isinstance(members, DataFrame):
         wanted = members.select(F.col(members.columns[0]).alias(column)).distinct()
         return df.join(wanted, column, "left_semi")
@@ -48,12 +52,13 @@ def last_sessions(
 def newest_articles(
     df: DataFrame,
     n: int = ARTICLES_PER_COMPANY,
-    company: str = "company",
+    group: str | Sequence[str] = "company",
     published: str = "published_at",
     tiebreak: str = "hash",
 ) -> DataFrame:
-    """The newest ``n`` articles of each company: one result page."""
-    newest_first = Window.partitionBy(company).orderBy(
+    """The newest ``n`` articles of each group: one result page of a company, or of a landed document."""
+    keys = [group] if isinstance(group, str) else group
+    newest_first = Window.partitionBy(*keys).orderBy(
         F.col(published).desc_nulls_last(), F.col(tiebreak).asc_nulls_last()
     )
     return (
@@ -93,15 +98,16 @@ def matching_articles(
 ) -> DataFrame:
     """Articles that name the keyword, in one language, from the sites, since yesterday.
 
-    The time bound is on the bare column so that it reaches the scan.
+    The language is tested where the frame has such a column. The time bound is on the bare column so that it reaches the scan.
     """
     word = F.lower(F.lit(keyword) if isinstance(keyword, str) else keyword)
     mentioned = F.lit(False)
     for column in text:
         mentioned = mentioned | F.coalesce(F.contains(F.lower(F.col(column)), word), F.lit(False))
+    spoken = F.col(language_column) == language if language_column in df.columns else F.lit(True)
     return df.filter(
         since_yesterday(F.col(published), as_of)
-        & (F.col(language_column) == language)
+        & spoken
         & from_domains(F.col(url), domains)
         & mentioned
     )

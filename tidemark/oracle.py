@@ -298,6 +298,14 @@ ORACLE: dict[str, str] = {
            WHERE place <= 30""",
         "news_keyed",
     ),
+    "news_pages": _with(
+        """SELECT hash, company, any_value(published_at) AS published_at FROM (
+               SELECT *, row_number() OVER (PARTITION BY company, hour, pull ORDER BY published_at DESC, hash) AS place
+               FROM (SELECT DISTINCT hash, company, published_at, date_trunc('hour', ts) AS hour, pull
+                     FROM news_keyed, (VALUES (0), (1)) AS pulls(pull) WHERE event_id % 3 <> pull))
+           WHERE place <= 30 GROUP BY 1, 2""",
+        "news_keyed",
+    ),
     "insider_payload_flatten": _with(
         """SELECT ticket AS symbol, 'Supplier ' || l_suppkey AS name, size AS share, change,
                   CAST(day + 2 AS VARCHAR) AS "filingDate", CAST(day AS VARCHAR) AS "transactionDate",
@@ -401,6 +409,9 @@ ORACLE: dict[str, str] = {
     "sentiment_label": f"""
         SELECT doc_id, {_answer('text', ('is', 'of', 'with', 'there'), ('and', 'to', 'was', 'what'))} AS sentiment
         FROM documents""",
+    "sentiment_classifier": """
+        SELECT doc_id, CASE length(text) % 3 WHEN 0 THEN 'good' WHEN 1 THEN 'bad' ELSE 'neutral' END AS sentiment
+        FROM documents""",
     "sentiment_normalise": """
         SELECT event_id, CASE event_type WHEN 'purchase' THEN 'good' WHEN 'error' THEN 'bad'
                          WHEN 'signup' THEN 'mixed' ELSE 'neutral' END AS sentiment

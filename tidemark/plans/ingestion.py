@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import selection
+from tidemark.operators.ingest import first_write_wins
 from tidemark.operators.labelling import label_with_lexicon
 from tidemark.plans import pipeline
 from tidemark.sources import landing
@@ -39,22 +40,40 @@ def _store(
     return store_or_csv(batch, append, backup, save, _flat)
 
 
+def _skipped(layers: Layers, name: str, judged: DataFrame, asked: str) -> None:
+    """Record the payloads that held nothing to store, with the reason; a repeated run adds none."""
+    file = F.col(f"{landing.LANDED}.file")
+    rows = (
+        judged.filter("outcome <> 'good'")
+        .select(
+            F.md5(F.concat_ws("|", file, F.coalesce("payload", F.lit("")))).alias("hash"),
+            asked,
+            file.alias("file"),
+            F.col("outcome").alias("reason"),
+            "payload",
+        )
+        .dropDuplicates(["hash"])
+    )
+    layers.append_missing(f"{name}_skipped", rows, "hash")
+
+
 def ingest_stocks(
     layers: Layers,
     bars: DataFrame,
     tickets: Iterable[str] = selection.DEFAULT_TICKETS,
-    sessions: int | None = selection.SESSIONS_PER_PULL,
+    sessions: int | None = None,
     *,
     save: bool = True,
     strict: bool = True,
 ) -> str | None:
-    """The newest sessions of the tickers (all of them for ``sessions=None``)."""
+    """The landed sessions of the tickers, or only the newest ``sessions`` of each. Sessions that
+    are stored already add nothing, so a run that was missed loses no day."""
     wanted = selection.in_universe(bars, "ticket", tickets)
     if sessions is not None:
         wanted = selection.last_sessions(wanted, sessions)
-    keyed = landing.key_bars(wanted, keep=(landing.LANDED,))
+    keyed = landing.key_bars(wanted, keep=ARRIVAL)
     return _store(
-        layers, pipeline.STOCKS, keyed, (landing.LANDED, *landing.BAR_FIELDS), save=save, strict=strict
+        layers, pipeline.STOCKS, keyed, (*ARRIVAL, *landing.BAR_FIELDS), save=save, strict=strict
     )
 
 
@@ -65,18 +84,42 @@ def ingest_news(
     as_of: dt.date | None = None,
     *,
     label: Callable[[DataFrame], DataFrame] = label_with_lexicon,
-    per_company: int = selection.ARTICLES_PER_COMPANY,
+    per_page: int = selection.ARTICLES_PER_COMPANY,
+    domains: Iterable[str] = selection.DEFAULT_DOMAINS,
+    language: str = selection.DEFAULT_LANGUAGE,
     save: bool = True,
     strict: bool = True,
+    report: Callable[[DataFrame], None] | None = None,
 ) -> str | None:
-    """The newest articles of the companies, since the day before ``as_of`` when it is given."""
+    """The articles of the companies' landed documents, the newest ``per_page`` different ones of
+    each document, which is one result page.
+
+    With ``as_of`` only those that a request of that day would bring: since the day before, that
+    name the company, from the sites, and in the language where the documents' rows tell it.
+    ``report`` gets the run's labelled articles, copies included. Documents without usable
+    articles are recorded in ``news_skipped``.
+    """
     asked = selection.in_universe(payloads, "company", companies)
-    good, _skipped = landing.split_payloads(asked, "payload", schemas.NEWS_PAYLOAD, "articles")
-    keyed = landing.key_news(landing.flatten_news(good, keep=ARRIVAL), keep=ARRIVAL)
-    if as_of is not None:
-        keyed = keyed.filter(selection.since_yesterday(F.col("published_at"), as_of))
-    page = selection.newest_articles(keyed, per_company)
-    return _store(layers, pipeline.NEWS, page, ARRIVAL, save=save, strict=strict, label=label)
+    carried = [*ARRIVAL, *[c for c in ("language",) if c in asked.columns]]
+    judged = landing.judge_payloads(asked, "payload", schemas.NEWS_PAYLOAD, "articles")
+    staged, place = layers.stage("payloads", judged)
+    try:
+        if save:
+            _skipped(layers, pipeline.NEWS.name, staged, "company")
+        keyed = landing.key_news(landing.flatten_news(staged, keep=carried), keep=carried)
+        if as_of is not None:
+            keyed = selection.matching_articles(
+                keyed, F.col("company"), as_of, domains=domains, language=language
+            )
+        keyed = keyed.drop("language")
+        document = ("company", landing.LANDED)
+        different = first_write_wins(keyed, ARRIVAL, (*document, "hash"))
+        page = selection.newest_articles(different, per_page, document)
+        if report is not None:
+            report(label(keyed.drop("sentiment")))
+        return _store(layers, pipeline.NEWS, page, ARRIVAL, save=save, strict=strict, label=label)
+    finally:
+        layers.remove(place)
 
 
 def ingest_insider(
@@ -88,10 +131,17 @@ def ingest_insider(
     save: bool = True,
     strict: bool = True,
 ) -> str | None:
-    """The symbols' trades, of the day before ``as_of`` when it is given."""
+    """The symbols' trades, of the day before ``as_of`` when it is given. Documents without usable
+    trades are recorded in ``insider_transactions_skipped``."""
     asked = selection.in_universe(payloads, "symbol", symbols)
-    good, _skipped = landing.split_payloads(asked, "payload", schemas.INSIDER_PAYLOAD, "data")
-    keyed = landing.key_insider(landing.flatten_insider(good, keep=ARRIVAL), keep=ARRIVAL)
-    if as_of is not None:
-        keyed = selection.trades_of_yesterday(keyed, as_of)
-    return _store(layers, pipeline.INSIDER, keyed, ARRIVAL, save=save, strict=strict)
+    judged = landing.judge_payloads(asked, "payload", schemas.INSIDER_PAYLOAD, "data")
+    staged, place = layers.stage("payloads", judged)
+    try:
+        if save:
+            _skipped(layers, pipeline.INSIDER.name, staged, "symbol")
+        keyed = landing.key_insider(landing.flatten_insider(staged, keep=ARRIVAL), keep=ARRIVAL)
+        if as_of is not None:
+            keyed = selection.trades_of_yesterday(keyed, as_of)
+        return _store(layers, pipeline.INSIDER, keyed, ARRIVAL, save=save, strict=strict)
+    finally:
+        layers.remove(place)

@@ -62,6 +62,13 @@ def build_layers(layers: Layers, bronze: Bronze | None = None) -> Gold:
     )
 
 
+def register_layers(layers: Layers) -> None:
+    """Name the silver and gold tables in the catalog, as ``silver.x`` and ``gold.x``."""
+    for layer, tables in ((SILVER, SILVER_TABLES), (GOLD, GOLD_TABLES)):
+        for table in tables.values():
+            layers.register(layer, table)
+
+
 def row_counts(layers: Layers) -> DataFrame:
     """Rows per derived table."""
     tables = [(SILVER, t) for t in SILVER_TABLES.values()] + [

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
+import os
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,20 +40,19 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """A folder that all executors reach: ``spark.checkpoint.dir``, else the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own_dir(spark.sparkContext.applicationId)
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-@cache
-def _own_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"tidemark-{application_id}-")
+def lead_workers_here(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package wherever the session was started.
+
+    On a cluster the package comes with ``--py-files`` or is installed; the path does no harm there.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (known, root) if p)

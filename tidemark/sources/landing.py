@@ -32,18 +32,31 @@ def _landed() -> Column:
     )
 
 
-def read_bars(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
-    """Landed daily bars. One frame per path; a field that a file set lacks becomes NULL."""
+def read_bars(
+    spark: SparkSession, paths: Sequence[str], fmt: str = "parquet", numbered: bool = False
+) -> DataFrame:
+    """Landed daily bars. One frame per path; a field that a file set lacks becomes NULL.
+
+    ``position`` is the row's place in its file, which decides between two bars of a day: Parquet
+    knows it; CSV and JSON carry it as a column of that name if ``numbered``. Where it is
+    unknown it is NULL, and among rows of one file block the values decide.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     if fmt in ("csv", "json"):
-        reader = reader.schema(schemas.LANDED_BARS)
-    frames = [reader.load(p).withColumn(LANDED, _landed()) for p in paths]
+        number = [T.StructField(POSITION, T.LongType())] if numbered else []
+        reader = reader.schema(T.StructType([*schemas.LANDED_BARS, *number]))
+    if fmt == "parquet":
+        place = F.col("_metadata.row_index")
+    else:
+        place = F.col(POSITION) if numbered else F.lit(None).cast("bigint")
+    frames = [reader.load(p).withColumns({LANDED: _landed(), POSITION: place}) for p in paths]
     if not frames:
         nothing = spark.createDataFrame([], schemas.LANDED_BARS)
-        return nothing.withColumn(LANDED, F.lit(None).cast(LANDED_TYPE))
-    return bars_scan(append_frames(frames, schemas.LANDED_BARS, spark), keep=(LANDED,))
+        none = {LANDED: F.lit(None).cast(LANDED_TYPE), POSITION: F.lit(None).cast("bigint")}
+        return nothing.withColumns(none)
+    return bars_scan(append_frames(frames, schemas.LANDED_BARS, spark), keep=(LANDED, POSITION))
 
 
 def bars_scan(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -89,25 +102,32 @@ def _payload(text: Column, schema: T.StructType) -> Column:
     return F.from_json(text, with_reject, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
-def payload_outcome(text: Column, schema: T.StructType, records: str) -> Column:
-    """``corrupt``, ``not_ok``, ``empty`` or ``good`` for one landed payload."""
-    doc = _payload(text, schema)
+def judge_payloads(df: DataFrame, text: str, schema: T.StructType, records: str) -> DataFrame:
+    """The landed payloads with ``outcome`` and ``items``.
+
+    ``outcome`` is ``corrupt``, ``not_ok``, ``empty`` or ``good``; ``items`` holds the records of
+    a good payload and is NULL else. A bad payload stops nothing. Each text is parsed once.
+    """
+    doc, items = F.col("_doc"), F.col("_doc")[records]
     not_ok = (
         ~doc["status"].eqNullSafe(STATUS_OK) if "status" in schema.fieldNames() else F.lit(False)
     )
-    return (
-        F.when(text.isNull() | doc[CORRUPT].isNotNull(), "corrupt")
+    outcome = (
+        F.when(F.col(text).isNull() | doc[CORRUPT].isNotNull(), "corrupt")
         .when(not_ok, "not_ok")
-        .when(F.coalesce(F.size(doc[records]), F.lit(0)) <= 0, "empty")
+        .when(F.coalesce(F.size(items), F.lit(0)) <= 0, "empty")
         .otherwise("good")
     )
+    parsed = df.withColumn("_doc", _payload(F.col(text), schema))
+    judged = parsed.select(*df.columns, outcome.alias("outcome"), items.alias("items"))
+    return judged.withColumn("items", F.when(F.col("outcome") == "good", F.col("items")))
 
 
 def split_payloads(
     df: DataFrame, text: str, schema: T.StructType, records: str
 ) -> tuple[DataFrame, DataFrame]:
-    """(usable payloads, skipped payloads with the reason). A bad payload stops nothing."""
-    judged = df.withColumn("outcome", payload_outcome(F.col(text), schema, records))
+    """(usable payloads, skipped payloads with the reason)."""
+    judged = judge_payloads(df, text, schema, records).drop("items")
     return judged.filter("outcome = 'good'").drop("outcome"), judged.filter("outcome <> 'good'")
 
 
@@ -117,12 +137,19 @@ def flatten_news(
     """One row per article of the payloads with status ok, tagged with the asked-for company.
 
     ``keep`` names columns of the payload's row, and may name ``position``: the article's place.
+    Payloads that were judged before are not parsed again.
     """
+    if "items" in df.columns:
+        return _news_rows(df, F.col("items"), company, keep)
     # The status test stays inside the explode: as a filter it would be pushed below the
     # projection that makes the payload, and the payload would be made and parsed twice.
     doc = F.from_json(F.col(payload), schemas.NEWS_PAYLOAD)
     usable = F.when(doc["status"] == STATUS_OK, doc["articles"])
-    return _exploded(df, usable, F.col(company).alias("company"), keep).select(
+    return _news_rows(df, usable, company, keep)
+
+
+def _news_rows(df: DataFrame, items: Column, company: str, keep: Sequence[str]) -> DataFrame:
+    return _exploded(df, items, F.col(company).alias("company"), keep).select(
         "_item.url", "company", "_item.publishedAt", "_item.title", "_item.description", *keep
     )
 
@@ -130,8 +157,10 @@ def flatten_news(
 def flatten_insider(
     df: DataFrame, payload: str = "payload", symbol: str = "symbol", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per record of the payloads' ``data``; the asked-for symbol replaces the record's."""
-    records = F.from_json(F.col(payload), schemas.INSIDER_PAYLOAD)["data"]
+    """One row per record of the payloads' ``data``; the asked-for symbol replaces the record's.
+    Payloads that were judged before are not parsed again."""
+    parsed = F.from_json(F.col(payload), schemas.INSIDER_PAYLOAD)["data"]
+    records = F.col("items") if "items" in df.columns else parsed
     own = [f.name for f in schemas.INSIDER_RECORD if f.name != "symbol"]
     return _exploded(df, records, F.col(symbol).alias("symbol"), keep).select(
         "symbol", *[f"_item.{name}" for name in own], *keep

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -19,6 +21,7 @@ from tidemark.operators.ingest import (
 )
 
 MONTH = "load_month"
+BUILD = "build-"
 
 
 @dataclass(frozen=True)
@@ -50,21 +53,60 @@ class Layers:
             raise
         return True
 
+    def _folder(self, path: str):
+        """The file system of a path, and the path as that file system's object."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def _builds(self, layer: str, table: str) -> list[str]:
+        """Finished builds of a refreshed table, oldest first; a failed one has no success mark."""
+        fs, at = self._folder(self.path(layer, table))
+        if not fs.exists(at):
+            return []
+        names = sorted(s.getPath().getName() for s in fs.listStatus(at))
+        built = [f"{self.path(layer, table)}/{n}" for n in names if n.startswith(BUILD)]
+        return [b for b in built if fs.exists(self._folder(f"{b}/_SUCCESS")[1])]
+
+    def location(self, layer: str, table: str) -> str:
+        """Where the table's rows are: its newest finished build, or the folder that appends go to."""
+        built = self._builds(layer, table)
+        return built[-1] if built else self.path(layer, table)
+
+    def remove(self, path: str) -> None:
+        fs, at = self._folder(path)
+        fs.delete(at, True)
+
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        return self.spark.read.parquet(self.location(layer, table))
 
     def rebuild(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        """Full refresh. The rows are written as the last stage holds them: no extra shuffle."""
-        df.write.mode("overwrite").parquet(self.path(layer, table))
+        """Full refresh. The rows are written as the last stage holds them: no extra shuffle.
+
+        They go to a folder of their own beside the table in use. Readers change over once it is
+        finished, so a build that fails leaves the old rows. The build before the last stays
+        for readers that have begun; older ones go.
+        """
+        build = f"{self.path(layer, table)}/{BUILD}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(build)
+        for old in self._builds(layer, table)[:-2]:
+            self.remove(old)
         return self.read(layer, table)
 
     def register(self, layer: str, table: str) -> None:
-        """Name a written table in the catalog, in a database per layer."""
+        """Name a written table in the catalog, in a database per layer, at its present place."""
+        name, place = f"{layer}.{table}", self.location(layer, table)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {layer}.{table} USING parquet "
-            f"LOCATION '{self.path(layer, table)}'"
-        )
+        if self.spark.catalog.tableExists(name):
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+            self.spark.catalog.refreshTable(name)
+        else:
+            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{place}'")
+
+    def stage(self, name: str, df: DataFrame) -> tuple[DataFrame, str]:
+        """Rows written to a folder of this run alone, and that folder, to be removed at its end."""
+        path = f"{self.root}/_staging/{name}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path), path
 
     def append_new(
         self,
@@ -81,7 +123,8 @@ class Layers:
         The batch is de-duplicated, judged and written to a staging table first, so its plan
         runs once: the checks, the month list and the append read the staged columns they need.
         ``strict`` refuses the whole batch when a row breaks a constraint; otherwise such rows
-        go to ``bronze/<name>_rejected``, which is returned. ``label`` runs on the new rows
+        go to ``bronze/<name>_rejected``, which is returned. The staging folder is the run's own
+        and goes when it ends. ``label`` runs on the new rows
         only, so a model is never asked about a stored row. ``drop`` names columns that only
         order the batch. The stored side is read for the batch's months only: a key contains
         its date, so a duplicate has the same month. The rebalance hint lets AQE split a hot
@@ -90,18 +133,30 @@ class Layers:
         """
         month = F.coalesce(F.date_format(F.col(table.date), "yyyy-MM"), F.lit("undated"))
         rules = table.constraints
-        staged = self.rebuild(
-            "_staging",
+        staged, place = self.stage(
             table.name,
             judged(first_write_wins(batch, arrival, table.key).drop(*drop), rules).withColumn(
                 MONTH, month
             ),
         )
+        try:
+            self._append_staged(table, staged, strict, label)
+        finally:
+            self.remove(place)
+        return None if strict else self.read("bronze", f"{table.name}_rejected")
+
+    def _append_staged(
+        self,
+        table: BronzeTable,
+        staged: DataFrame,
+        strict: bool,
+        label: Callable[[DataFrame], DataFrame] | None,
+    ) -> None:
         if strict:
             refuse_broken(staged)
-        fresh, rejected = split_judged(staged, rules)
+        fresh, rejected = split_judged(staged, table.constraints)
         if not strict:
-            self._append_missing(f"{table.name}_rejected", rejected, table.key)
+            self.append_missing(f"{table.name}_rejected", rejected, table.key)
         if self.exists("bronze", table.name):
             # At most one value per calendar month of the batch.
             months = [r[0] for r in fresh.select(MONTH).distinct().collect()]
@@ -116,9 +171,9 @@ class Layers:
             .partitionBy(MONTH)
             .parquet(self.path("bronze", table.name))
         )
-        return None if strict else rejected
 
-    def _append_missing(self, name: str, rows: DataFrame, key: str) -> None:
+    def append_missing(self, name: str, rows: DataFrame, key: str) -> None:
+        """Add the rows, unique by key, that a bronze side table does not hold yet."""
         if self.exists("bronze", name):
             rows = not_yet_stored(rows, self.read("bronze", name), key)
         rows.write.mode("append").parquet(self.path("bronze", name))

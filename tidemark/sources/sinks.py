@@ -5,9 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException, PySparkException, PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.operators.ingest import RejectedBatch
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Files with a header and no row index; each task writes its own part."""
@@ -27,7 +30,9 @@ def store_or_csv(
 ) -> str | None:
     """Store a batch in its table, or as CSV when storing is off or fails.
 
-    Returns None when the table took the batch, else why the CSV was written. ``flat`` gives
+    Returns None when the table took the batch, else why the CSV was written. Only a refused
+    batch and an error of the storage lead to CSV; a wrong plan and a failing Python function
+    are errors of the program and rise. ``flat`` gives
     the batch a form that CSV can hold. Each backup is a folder of its own, so a second
     failure does not overwrite the first.
     """
@@ -36,7 +41,11 @@ def store_or_csv(
         try:
             store(df)
             return None
-        except Exception as error:
+        except (RejectedBatch, OSError) as error:
+            reason = str(error)
+        except PySparkException as error:
+            if isinstance(error, (AnalysisException, PythonException)):
+                raise
             reason = str(error)
     write_csv(flat(df), f"{csv_path}/{uuid.uuid4().hex}")
     return reason
