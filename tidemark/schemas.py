@@ -1,4 +1,4 @@
-"""Explicit schemas of the landed files and the bronze tables."""
+"""Explicit schemas of the landed files."""
 
 from __future__ import annotations
 
@@ -9,9 +9,7 @@ _TYPES = {
     "string": T.StringType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
-    "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
-    "decimal(10,2)": T.DecimalType(10, 2),
 }
 
 
@@ -41,17 +39,5 @@ INSIDER_RECORD = _struct(
 )
 INSIDER_PAYLOAD = T.StructType([T.StructField("data", T.ArrayType(INSIDER_RECORD))])
 
-# Bronze tables (without the load stamp that is set on write).
-BRONZE_STOCKS = _struct(
-    "hash string, ticket string, date timestamp_ntz, close double, high double, low double, "
-    "open double, volume bigint"
-)
-BRONZE_NEWS = _struct(
-    "hash string, company string, title string, description string, url string, "
-    "published_at timestamp_ntz, sentiment string"
-)
-BRONZE_INSIDER = _struct(
-    "hash string, symbol string, name string, share bigint, change bigint, filing_date date, "
-    "transaction_date date, transaction_price decimal(10,2), transaction_code string"
-)
+# The map of tickers to companies.
 TICKER_MAP = _struct("ticket string, company string")
