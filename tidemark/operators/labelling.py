@@ -53,7 +53,7 @@ def label_with_classifier(
     SHA-256, so neither the distinct nor the join shuffles whole texts of a hot copy group: the
     copies collapse map-side. The texts are then dealt to ``tasks`` tasks: a call costs far more
     than its text's bytes, by which Spark would size the partitions, and an explicit number is
-    not merged again. Rows without a text are neutral and are not sent to the model; they get
+    not merged again. (The hash keeps the planner from taking that step for the one before.) Rows without a text are neutral and are not sent to the model; they get
     spread-out keys, so that they do not meet in one task of the join.
     """
 
@@ -72,7 +72,7 @@ def label_with_classifier(
         keyed.filter(F.col(text).isNotNull())
         .groupBy("_text_key")
         .agg(F.any_value(text).alias(text))
-        .repartition(tasks, "_text_key")
+        .repartition(tasks, F.xxhash64("_text_key"))
         .mapInPandas(answer, "_text_key string, _answer string")
     )
     return (
