@@ -76,7 +76,7 @@ def test_toxicity_of_held_out_documents(spark, documents, labels):
 
 def test_toxicity_edge_cases(spark, rows):
     ordinary = ["many plain words stand %s here" % w for w in "one two three four five six seven eight nine ten".split() for _ in range(4)]
-    toxic = [t.replace("plain", "%s vile" % w) for t, w in zip(ordinary, "a b c d e f g h i j k l m n o p q r s t u v w x y z".split() * 2)]
+    toxic = [t.replace("plain", "%s vile" % w) for t, w in zip(ordinary, [a + b for a in "abcdefgh" for b in "ijklm"])]
     data = list(enumerate(ordinary + toxic))
     docs = rows([*data, (900, None), (None, "x")], "doc_id long, text string")
     marks = rows([(i, int(i >= len(ordinary))) for i, _ in data] + [(900, 1), (None, 1), (901, 1), (0, 0), (3, None)], "doc_id long, toxic int")
