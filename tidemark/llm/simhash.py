@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, free_name, shuffle_width
+from tidemark.llm.common import cut, kept_rows, shuffle_width
 from tidemark.llm.components import connected_components, merge_labels
 
 SHINGLE = 4
@@ -44,16 +44,20 @@ def fingerprint(text: str | None) -> int:
     return int(majority.view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp) of every row; fp is the fingerprint's 64 bits as a signed long."""
+def with_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hashed: bool = False) -> DataFrame:
+    """(id, fp) of every row, and text_hash if ``hashed``; fp is the fingerprint's 64 bits as a signed long."""
+    names = ["id", "fp", "text_hash"] if hashed else ["id", "fp"]
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names=names
+            )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(prints, "id long, fp long")
+    text_hash = [F.xxhash64(F.col(text)).alias("text_hash")] if hashed else []
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), *text_hash)
+    return rows.mapInArrow(prints, ", ".join(f"{n} long" for n in names))
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -244,7 +248,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Links are sought between distinct fingerprints, so copies cost nothing more. Both sides of
     the joins below are plain shuffles, which AQE splits at a fingerprint that many rows have.
     """
-    printed = cut(with_fingerprints(docs, doc_id, text))
+    return _labelled(cut(with_fingerprints(docs, doc_id, text))).select(F.col("id").alias("doc_id"), "fp", "component_id")
+
+
+def _labelled(printed: DataFrame, *extra: str) -> DataFrame:
+    """``printed`` with the component_id of each fingerprint, and ``extra`` columns of its component."""
     distinct = cut(printed.groupBy("fp").agg(F.min("id").alias("least")))
     roots = connected_components(fingerprint_links(distinct.select("fp")))
     rooted = (
@@ -253,26 +261,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     rooted = cut(rooted)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = cut(rooted.join(cut(named), "root").select("fp", "component_id"))
-    return printed.join(labels, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
+    labels = cut(rooted.join(cut(named), "root").select("fp", "component_id", *extra))
+    return printed.join(labels, "fp")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one of the smallest doc_id.
+    """``docs`` with one row of each component: the one of the smallest (doc_id, hash of the text).
 
-    Columns are unchanged. Repeated rows of that doc_id leave one. Rows without a doc_id, which
-    nothing can refer to, stay. A text is shuffled once, to meet the kept ids; the numbering of
-    repeated rows uses that shuffle's partitions and order.
+    Columns are unchanged. Rows equal in doc_id and text leave one; rows of one doc_id with
+    different texts are told apart. Rows without a doc_id, which nothing can refer to, stay.
     """
-    rows = near_duplicates(docs, doc_id, text)
-    kept_ids = rows.filter("doc_id = component_id").select(
-        F.col("doc_id").cast(docs.schema[doc_id].dataType).alias(doc_id)
-    )
-    number = free_name("repeat_no", docs.columns)
-    kept = (
-        docs.join(kept_ids.distinct(), doc_id, "left_semi")
-        .withColumn(number, F.expr(f"row_number() over (partition by `{doc_id}` order by `{doc_id}`)"))
-        .filter(F.col(number) == 1)
-        .select(*[f"`{c}`" for c in docs.columns])
-    )
-    return kept.unionByName(docs.filter(F.col(doc_id).isNull()))
+    rows = _labelled(cut(with_fingerprints(docs, doc_id, text, hashed=True)), "root")
+    kept = rows.filter("id = component_id").groupBy("root", "id").agg(F.min("text_hash").alias("text_hash"))
+    return kept_rows(docs, kept.select("id", "text_hash"), doc_id, text)
