@@ -226,3 +226,13 @@ def test_scoring_edge_cases(spark, rows, monkeypatch):
     blank = suffix_tree.score_texts(docs, train.limit(0)).collect()
     assert len(blank) == 7 and {(r.n_known, r.train_tokens) for r in blank} == {(0, 0)}
     assert suffix_tree.score_texts(docs.limit(0), train).count() == 0
+
+
+def test_texts_of_one_form_are_told_apart_by_their_words(rows):
+    rng = np.random.default_rng(4)
+    good, bad = (["%s%s" % (a, b) for a in first for b in ("ab", "cd", "ef", "gh", "ij")] for first in ("klm", "pqr"))
+    texts = [" ".join(rng.choice(bad if i % 2 else good, 40)) for i in range(200)]
+    docs = rows(list(enumerate(texts)), "doc_id long, text string")
+    model = quality.learn(docs, rows([(i, 1 - i % 2) for i in range(120)], "doc_id long, quality int"))
+    found = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
+    assert brute.auc([found[i] for i in range(120, 200)], [1 - i % 2 for i in range(120, 200)]) > 0.99

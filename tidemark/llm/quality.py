@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,8 +17,10 @@ from tidemark.llm.samples import labelled_sample
 
 #: Labelled documents of each class that the space and the votes are made of, at most.
 SAMPLE_ROWS = 2000
-#: Terms: hashed runs of three character classes, and of adjacent words.
-TERMS = 1024
+#: Terms of form: hashed runs of three character classes, and of adjacent words. Then hashed words.
+FORM = 1024
+WORDS = 1024
+TERMS = FORM + WORDS
 #: Dimensions of the latent space, neighbours that vote, and the power of similarity they weigh by.
 DIMENSIONS = 48
 NEIGHBOURS = 25
@@ -45,13 +48,14 @@ def terms_of(text: str | None) -> np.ndarray:
 
     Three character classes in a row make a term, so do the lengths of a word and the next
     and whether they are equal: what makes a text clean or broken shows in its form, whatever
-    its language. Letters beyond ASCII count as lower case.
+    its language. Letters beyond ASCII count as lower case. The words themselves, ASCII-lower-cased,
+    are hashed to terms of their own, so texts of one form but different words differ.
     """
     counts = np.zeros(TERMS)
     data = (text or "").encode("utf-8", "surrogatepass")
     if not data:
         return counts
-    half = TERMS // 2
+    half = FORM // 2
     kinds = CLASSES[np.frombuffer(b" " + data + b" ", dtype=np.uint8)]
     runs = (kinds[:-2] * 256 + kinds[1:-1]) * 256 + kinds[2:]
     counts[:half] += np.bincount((runs * 0x9E3779B1 >> 12) % half, minlength=half)
@@ -60,7 +64,9 @@ def terms_of(text: str | None) -> np.ndarray:
         sizes = np.minimum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)), 15)
         equal = np.fromiter((a == b for a, b in zip(words, words[1:])), dtype=np.int64, count=len(words) - 1)
         pairs = (sizes[:-1] * 16 + sizes[1:]) * 2 + equal
-        counts[half:] += np.bincount((pairs * 0x9E3779B1 >> 12) % half, minlength=half)
+        counts[half:FORM] += np.bincount((pairs * 0x9E3779B1 >> 12) % half, minlength=half)
+    slots = np.fromiter((zlib.crc32(w) % WORDS for w in data.lower().split()), dtype=np.int64, count=len(words))
+    counts[FORM:] += np.bincount(slots, minlength=WORDS)
     return counts
 
 
