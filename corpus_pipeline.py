@@ -2,8 +2,8 @@
 
 1. language_id: drops texts without a letter and long texts whose language can't be told.
 2. line_dedup: cuts passages of three lines or more that an earlier document or place has.
-3. simhash_dedup: keeps the document of the smallest id of each group of near copies: texts whose sets
-   of five words in a row have a Jaccard similarity of 0.8 or more.
+3. simhash_dedup: keeps the document of the smallest id of each group of near copies: texts whose
+   fingerprints of four-word shingles differ in four bits at most.
 4. decontaminate: drops documents that hold ten words in a row of a benchmark item.
 5. packing: lays the documents' tokens out in sequences of 1024.
 
@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, line_dedup, near_text, packing
+from tidemark.llm import decontaminate, langid, line_dedup, packing, simhash
 from tidemark.llm.common import free_name, lead_workers_here, shared_folder, table
 
 
@@ -39,7 +39,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lead_workers_here(spark)
-    return near_text.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
