@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tidemark.llm import near_text, simhash
+from tidemark.llm import simhash
 from tidemark.llm.components import connected_components, merge_labels
 from tidemark.llm.queries import QUERIES
 
@@ -112,10 +112,9 @@ def test_a_chain_and_a_hub_are_one_component_each(spark, rows):
     }
 
 
-@pytest.mark.parametrize("keep", [simhash.keep_one, near_text.keep_one])
-def test_equal_ids_with_different_texts_are_told_apart(rows, keep):
+def test_equal_ids_with_different_texts_are_told_apart(rows):
     copy = "words that another document has as well and has first"
     own = "a text that no other document of all these holds anywhere"
     data = [(1, copy, 1), (5, copy, 2), (5, own, 3), (5, own, 3), (7, own, 4), (8, "quite alone", 5), (8, "quite other text", 6)]
-    kept = keep(rows(data, "doc_id long, text string, n int"))
+    kept = simhash.keep_one(rows(data, "doc_id long, text string, n int"))
     assert sorted(r.n for r in kept.collect()) == [1, 3, 5, 6]

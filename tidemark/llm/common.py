@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import os
-from pathlib import Path
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def lead_workers_here(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package wherever the session was started.
-
-    On a cluster the package comes with ``--py-files`` or is installed; the path does no harm there.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (known, root) if p)
+from tidemark.session import lead_workers_here
+from tidemark.session import shared_dir as shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,13 +21,23 @@ def remainder(key: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names, which all executors share.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that one of these operators wrote and no later plan reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
-    Only a session without that setting falls back to its warehouse, which they share as well.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the folder that all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read again, and where: like ``cut``, but later steps
+    read only the columns they need."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -70,8 +71,9 @@ def free_name(wanted: str, taken: list[str]) -> str:
 def kept_rows(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row of ``docs`` for each (id, text_hash) of ``kept``, and all rows without a doc_id.
 
-    A text is shuffled once, to meet the kept ones; the numbering of repeated rows uses that
-    shuffle's partitions and order.
+    Repeated rows are numbered first: each map task keeps one of them, so a row that makes up a
+    third of the table is not shuffled whole. A text is shuffled once, and the kept ones meet it
+    in that shuffle's partitions.
     """
     hashed = free_name("kept_hash", docs.columns)
     number = free_name("repeat_no", docs.columns)
@@ -79,10 +81,11 @@ def kept_rows(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataF
         F.col("id").cast(docs.schema[doc_id].dataType).alias(doc_id), F.col("text_hash").alias(hashed)
     )
     found = (
-        docs.withColumn(hashed, F.xxhash64(F.col(text)))
-        .join(wanted.distinct(), [doc_id, hashed], "left_semi")
+        docs.filter(F.col(doc_id).isNotNull())
+        .withColumn(hashed, F.xxhash64(F.col(text)))
         .withColumn(number, F.expr(f"row_number() over (partition by `{doc_id}`, `{hashed}` order by `{doc_id}`, `{hashed}`)"))
         .filter(F.col(number) == 1)
+        .join(wanted.distinct(), [doc_id, hashed], "left_semi")
         .select(*[f"`{c}`" for c in docs.columns])
     )
     return found.unionByName(docs.filter(F.col(doc_id).isNull()))
