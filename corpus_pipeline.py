@@ -12,13 +12,11 @@ All stages but the last return the columns of documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, langid, line_dedup, packing, simhash
-from tidemark.llm.common import free_name, lead_workers_here, shared_folder, table
+from tidemark.llm.common import free_name, lead_workers_here, new_folder, remove, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,11 +62,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each is written to the shared folder and read again."""
+    """Apply the stages to documents; each is written to the shared folder and read again, and what
+    the stage before wrote goes then."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
+    folder = new_folder(spark, "pipeline")
+    before = None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
