@@ -105,9 +105,54 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM first LEFT JOIN counts USING (vec_id)
 """
 
+# Base 32 of the SHA-1: eight times five hex digits, each four digits of base 32.
+WARC = """
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, upper(sha1(coalesce(html, ''))) AS h FROM pages
+),
+d AS (
+  SELECT page_id, url, n, array_to_string(list_transform(range(8), lambda k: array_to_string(list_transform(range(4), lambda j:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((CAST('0x' || substr(h, CAST(k * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * j AS BIGINT)) & 31) + 1, 1)), '')), '') AS digest
+  FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to,
+       url AS target_uri
+FROM d WINDOW same AS (PARTITION BY digest, n)
+"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND list_count(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON len(a.q) = len(b.q) AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (
+  SELECT anchor_id, id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)::INT AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) <= 5
+"""
+
 SQL: dict[str, str] = {
     "op2_line_dedup": LINE_DEDUP,
     "op3_sharding": SHARDING,
     "op6_decontaminate": DECONTAMINATE,
     "op10_embedding_dedup": EMBEDDING_DEDUP,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_warc": WARC,
 }

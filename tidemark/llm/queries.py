@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, lattice, line_dedup, packing, quality, sharding, simhash, suffix_tree, toxicity
-from tidemark.llm.common import remainder, table
+from tidemark.llm import decontaminate, langid, lattice, line_dedup, negatives, packing, quality, repair, sharding, simhash, suffix_tree, toxicity, warc
+from tidemark.llm.common import cut, new_folder, remainder, remove, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,48 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a fault of a kind that the crc32 of ``conv_id:turn`` decides; a null is one space."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat(told[0], F.lit(":"), told[1]).cast("binary")) % 20
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        (kind == 0).alias("dropped"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return repair.digests(repair.repair(rows, dropped="dropped"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = new_folder(spark, "warc")
+    warc.write_archives(warc.plan_captures(pages), folder)
+    records = cut(warc.read_archives(spark, folder, payload=False))
+    remove(spark, folder)
+    found = warc.resolve_revisits(cut(warc.assemble(records)))
+    own, kind = F.col("referred").isNull(), pages.schema["page_id"].dataType.simpleString()
+    return found.select(
+        warc.capture_key(kind).alias("page_id"),
+        F.when(own, F.col("payload_bytes")).otherwise(F.col("referred.payload_bytes")).alias("payload_bytes"),
+        F.when(own, F.col("payload_digest")).otherwise(F.col("referred.payload_digest")).alias("payload_digest"),
+        "record_type",
+        F.col("referred.key").cast(kind).alias("refers_to"),
+        "target_uri",
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -100,5 +142,8 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_quality,
         op10_embedding_dedup,
+        op11_conversation_repair,
+        op12_hard_negatives,
+        op13_warc,
     )
 }
