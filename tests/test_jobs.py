@@ -9,6 +9,7 @@ import pytest
 
 from tidemark import jobs
 from tidemark.operators.ingest import RejectedBatch
+from tidemark.operators.labelling import label_with_classifier, one_by_one
 from tidemark.plans import ingestion
 from tidemark.sources import landing
 from tidemark.sources.layers import Layers
@@ -130,12 +131,12 @@ def test_csv_when_saving_is_off_or_fails(spark, rows, tmp_path):
     assert spark.read.option("header", True).csv(f"{tmp_path}/other/*").count() == 1
 
 
-def pulls(path, pages):
-    """Landed news documents of Meta: each page a list of article numbers."""
+def pulls(path, pages, text="Meta"):
+    """Landed news documents of Meta: each page a list of article numbers, which ``text`` may name."""
     (path / "company=Meta").mkdir(parents=True)
     for n, numbers in enumerate(pages):
         articles = [
-            {"url": f"u{i}", "title": f"t{i}", "description": "Meta", "publishedAt": f"2024-01-01T00:{i:02}:00Z"}
+            {"url": f"u{i}", "title": f"t{i}", "description": text.format(i), "publishedAt": f"2024-01-01T00:{i:02}:00Z"}
             for i in numbers
         ]
         (path / "company=Meta" / f"{n}.json").write_text(json.dumps({"status": "ok", "articles": articles}))
@@ -150,7 +151,7 @@ def test_no_pull_takes_another_ones_place(spark, tmp_path, pages, stored):
     layers = Layers(spark, str(tmp_path / "layers"))
     seen = []
     payloads = landing.read_payloads(spark, str(tmp_path / "news"))
-    assert ingestion.ingest_news(layers, payloads, "all", report=lambda rows: seen.append(rows.count())) is None
+    assert ingestion.ingest_news(layers, payloads, "all", report=lambda rows, _: seen.append(rows.count())) is None
     assert layers.read("bronze", "news").count() == stored
     assert seen == [sum(len(p) for p in pages)]
 
@@ -230,3 +231,65 @@ def test_a_bug_is_no_reason_for_csv(rows, tmp_path):
 
     with pytest.raises(KeyError):
         store_or_csv(rows([(1,)], "i int"), wrong, str(tmp_path / "other"))
+
+
+def counting_label(spark, answers):
+    """A model's label, and how often it was asked."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def make():
+        def one(text):
+            asked.add(1)
+            return answers(text)
+
+        return one
+
+    return lambda df: label_with_classifier(df, one_by_one(make), tasks=2), asked
+
+
+def test_a_model_is_asked_once_per_new_text(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path / "layers"))
+    label, asked = counting_label(spark, lambda text: "good")
+    told = []
+    for day, part in enumerate((range(4), range(2, 6))):
+        pulls(tmp_path / f"news{day}", [part, part], "Meta {}")
+        payloads = landing.read_payloads(spark, str(tmp_path / f"news{day}"))
+        report = lambda rows, written: told.append((written["stored"], rows.count(), rows.filter("sentiment = 'good'").count()))
+        assert ingestion.ingest_news(layers, payloads, "all", label=label, report=report) is None
+    # Copies are reported with the stored label; the two articles of both days are asked about once.
+    assert told == [(4, 8, 8), (2, 8, 8)] and asked.value == 6
+
+
+def test_a_long_label_refuses_a_strict_run_and_is_kept_apart_in_another(spark, tmp_path):
+    pulls(tmp_path / "news", [range(4)], "Meta {}")
+    payloads = landing.read_payloads(spark, str(tmp_path / "news"))
+    label, asked = counting_label(spark, lambda text: "extremely positive" if text.endswith("3") else "bad")
+    strict = Layers(spark, str(tmp_path / "strict"))
+    reason = ingestion.ingest_news(strict, payloads, "all", label=label, report=lambda *_: pytest.fail("nothing was stored"))
+    assert "sentiment longer than 10" in reason and not strict.exists("bronze", "news")
+    backup = spark.read.option("header", True).csv(f"{strict.root}/csv/news/*")
+    assert sorted(r.sentiment for r in backup.collect()) == ["bad", "bad", "bad", "extremely positive"] and asked.value == 4
+    apart = Layers(spark, str(tmp_path / "apart"))
+    assert ingestion.ingest_news(apart, payloads, "all", label=label, strict=False) is None
+    assert apart.read("bronze", "news").count() == 3
+    assert [r.broken_rules for r in apart.read("bronze", "news_rejected").collect()] == [["sentiment longer than 10"]]
+
+
+def test_a_run_that_is_refused_anyway_asks_no_model(spark, tmp_path):
+    (tmp_path / "news" / "company=Meta").mkdir(parents=True)
+    articles = [{"url": "u", "title": t, "description": "d", "publishedAt": "2024-01-01T00:00:00Z"} for t in ("a", None)]
+    (tmp_path / "news" / "company=Meta" / "1.json").write_text(json.dumps({"status": "ok", "articles": articles}))
+    payloads = landing.read_payloads(spark, str(tmp_path / "news"))
+    label, asked = counting_label(spark, lambda text: "good")
+    reason = ingestion.ingest_news(Layers(spark, str(tmp_path / "layers")), payloads, "all", label=label)
+    assert "title is null" in reason and asked.value == 0
+
+
+def test_without_saving_the_csv_has_labels(spark, tmp_path):
+    pulls(tmp_path / "news", [range(3)], "Meta {}")
+    layers = Layers(spark, str(tmp_path / "layers"))
+    payloads = landing.read_payloads(spark, str(tmp_path / "news"))
+    label, asked = counting_label(spark, lambda text: "good")
+    assert ingestion.ingest_news(layers, payloads, "all", label=label, save=False) is not None
+    rows = spark.read.option("header", True).csv(f"{layers.root}/csv/news/*").collect()
+    assert [r.sentiment for r in rows] == ["good"] * 3 and asked.value == 3

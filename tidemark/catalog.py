@@ -6,6 +6,7 @@ keep exact decimals up to that last projection.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -17,13 +18,14 @@ from tidemark import feeds, schemas
 from tidemark.feeds import Tables
 from tidemark.functions import keys
 from tidemark.functions.sentiment import Lexicon, normalise_label
-from tidemark.operators import ingest, labelling, selection
+from tidemark.operators import asof, calendar, ingest, intervals, labelling, reconcile, selection, sketches
 from tidemark.operators.labelling import label_with_lexicon
-from tidemark.plans import analysis, gold_insider, gold_news, gold_price, pipeline, quality, silver
+from tidemark.plans import analysis, gold_insider, gold_news, gold_price, incremental, ingestion, pipeline, quality, silver
 from tidemark.plans import gold as gold_plan
 from tidemark.session import lead_workers_here, shared_dir
-from tidemark.sources import landing, sinks
+from tidemark.sources import landing, pages, sinks
 from tidemark.sources.layers import Layers
+from tidemark.streaming import batches, daily, rolling
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -268,6 +270,63 @@ def strict_batch_refusal(t):
     return stored.select("batch", "event_id")
 
 
+def _landed_pages(t: Tables) -> DataFrame:
+    """The news payloads as pages that landed in the order of their events."""
+    landed = F.struct(
+        F.lit(feeds.LANDED_AT).cast("timestamp").alias("at"),
+        F.format_string("%012d", "event_id").alias("file"),
+        F.lit(0).cast("bigint").alias("block"),
+    )
+    return feeds.news_payloads(t).select("company", "payload", landed.alias(landing.LANDED))
+
+
+def _wordy(articles: DataFrame) -> DataFrame:
+    """Labels by the number in the text; every third is longer than the table takes."""
+    weight = F.get_json_object("description", "$.k").cast("int") % 3
+    label = F.when(weight == 0, "good").when(weight == 1, "bad").when(weight == 2, "extremely positive")
+    return articles.withColumn("sentiment", normalise_label(label))
+
+
+@query
+def news_run_labels(t):
+    """A whole news run whose model answers at too great length now and then: what the table took, and
+    what it refused for its label."""
+    layers = Layers(t.spark, f"{shared_dir(t.spark)}/run-{uuid.uuid4().hex}")
+    ingestion.ingest_news(layers, _landed_pages(t), "all", label=_wordy, strict=False)
+    stored = layers.read("bronze", "news").select("hash", "company", "sentiment", F.lit("stored").alias("outcome"))
+    refused = layers.read("bronze", "news_rejected")
+    return stored.unionByName(
+        refused.select("hash", "company", "sentiment", F.array_join(ingest.BROKEN, ", ").alias("outcome"))
+    )
+
+
+@query
+def load_stamps(t):
+    """The load stamps of bronze and silver: one a load, none missing, and a repeated load of the same
+    batch changes none."""
+    layers = Layers(t.spark, f"{shared_dir(t.spark)}/run-{uuid.uuid4().hex}")
+    keyed = landing.key_bars(feeds.bars(t))
+
+    def stamps() -> DataFrame:
+        layers.append_new(pipeline.STOCKS, keyed, ["date"])
+        return layers.read("bronze", "stocks").select("hash", "created_at")
+
+    _, before = layers.stage("stamps", stamps())
+    kept = stamps().join(t.spark.read.parquet(before).withColumnRenamed("created_at", "earlier"), "hash", "left")
+    silver_rows = silver.stamped(silver.stocks(layers.read("bronze", "stocks")))
+    loaded = layers.rebuild("silver", "stocks", silver_rows)
+
+    def told(layer: str, rows: DataFrame, stamp: str, same) -> DataFrame:
+        return rows.agg(
+            F.count("*").alias("row_count"), F.count(stamp).alias("stamped"), F.count_distinct(stamp).alias("stamps"),
+            F.coalesce(F.count_if(same), F.lit(0)).alias("unchanged"),
+        ).withColumn("layer", F.lit(layer))
+
+    return told("bronze", kept, "created_at", F.col("created_at") == F.col("earlier")).unionByName(
+        told("silver", loaded, "updated_at", F.lit(True))
+    )
+
+
 @query
 def insider_date_parse(t):
     """Dates from text; rejected trades (no change) come without a filing date."""
@@ -525,9 +584,36 @@ def gold_insider_signal(t):
     return _insider(t).select(*INSIDER_KEY, "rolling_5_day_sentiment", "is_activity_cluster")
 
 
+#: Days whose bars land late, and days whose first bars are wrong by a tenth of a cent.
+LATE_BARS = ("1998-03-10", "1998-03-20")
+WRONG_BARS = ("1999-07-30", "1999-08-02")
+
+
+@query
+def gold_price_incremental(t):
+    """All price indicators, built without some late bars and with some wrong ones, then brought up to
+    date by writing the months that the late and corrected bars reach."""
+    layers = Layers(t.spark, f"{shared_dir(t.spark)}/layers-{uuid.uuid4().hex}")
+    stocks, _ = layers.stage("stocks", _silver(t).stocks)
+    late, wrong = (F.col("trading_date").between(*(F.lit(d).cast("date") for d in days)) for days in (LATE_BARS, WRONG_BARS))
+    off = (F.col("close_price") + F.lit("0.001").cast("decimal(4,3)")).cast("decimal(18,4)")
+    first = stocks.filter(~late).withColumn("close_price", F.when(wrong, off).otherwise(F.col("close_price")))
+    incremental.build_prices(layers, first)
+    incremental.refresh_prices(layers, stocks, stocks.filter(late | wrong).select("ticket", "trading_date"))
+    return incremental.read_prices(layers)
+
+
 # --- Quality ----------------------------------------------------------------------------
 
 
+@query
+def gold_news_reconciled(t):
+    """Daily sentiment against a build that lacks every 499th article: the rows in which they differ."""
+    news = _silver(t).news
+    fewer = silver.build(dataclasses.replace(feeds.bronze(t), news=feeds.load_news(feeds.articles(t).filter("event_id % 499 <> 0"))))
+    return reconcile.differences(gold_news.daily_news(news), gold_news.daily_news(fewer.news), ("whole", "partial"))
+
+
 def _gold(t: Tables) -> gold_plan.Gold:
     return gold_plan.build(_silver(t))
 
@@ -653,3 +739,211 @@ def contrarian_buys(t):
 def dispersion_by_intensity(t):
     """Spread of the daily change per sentiment intensity."""
     return analysis.dispersion_by_intensity(_master(t, "price_change_pct_1d"))
+
+
+# --- Matches in time ----------------------------------------------------------------------
+
+EVENT_DAYS = 3
+RECENT_DAYS = 5
+
+
+def _sessions(t: Tables) -> DataFrame:
+    return _silver(t).stocks.select(F.col("ticket").alias("traded"), "trading_date", "close_price")
+
+
+def _news_sessions(t: Tables) -> DataFrame:
+    dated = _silver(t).news.select("hash_news", "ticket", F.to_date("published_at").alias("news_date"))
+    return asof.as_of(
+        dated, _sessions(t), key="ticket", time="news_date", right_key="traded", right_time="trading_date",
+        carry=["close_price"], direction=asof.FORWARD,
+    )
+
+
+@query
+def news_next_session(t):
+    """Every article with the first trading day at or after its own, and that day's close."""
+    return _news_sessions(t)
+
+
+@query
+def news_per_session(t):
+    """Articles per ticker and trading day, those of days without trade moved to the next session."""
+    return (
+        _news_sessions(t).filter("trading_date is not null")
+        .groupBy("ticket", "trading_date").agg(F.count("*").alias("news_count"))
+    )
+
+
+@query
+def insider_last_close(t):
+    """Every trade with the last close at or before its day."""
+    trades = _silver(t).insider.select("insider_transactions_hash", "symbol", "transaction_date", "change")
+    return asof.as_of(
+        trades, _sessions(t), key="symbol", time="transaction_date", right_key="traded", right_time="trading_date",
+        carry=["close_price"],
+    )
+
+
+@query
+def price_calendar_frames(t):
+    """Sessions, volume and mean close of the last five calendar days."""
+    columns = {
+        "sessions": "count(*) OVER recent",
+        "volume": "sum(trade_volume) OVER recent",
+        "low": "min(low_price) OVER recent",
+        "_total": "sum(close_price) OVER recent",
+    }
+    framed = calendar.recent_days(
+        _silver(t).stocks, key="ticket", date="trading_date", days=RECENT_DAYS, columns=columns,
+        carry=["close_price", "low_price", "trade_volume"],
+    )
+    mean = F.round(F.col("_total").cast("decimal(24,4)") / F.col("sessions"), 2)
+    return framed.select("ticket", "trading_date", "sessions", "volume", "low", mean.alias("mean_close"))
+
+
+@query
+def quote_calendar_frames(t):
+    """Every raw quote with the number and volume of its ticker's quotes of the last five days."""
+    quotes = feeds.quotes(t).select(
+        "ticket", F.to_date("date").alias("day"), "volume", "l_orderkey", "l_linenumber"
+    )
+    columns = {"recent_quotes": "count(*) OVER recent", "recent_volume": "sum(volume) OVER recent"}
+    return calendar.recent_days(
+        quotes, key="ticket", date="day", days=RECENT_DAYS, columns=columns, carry=["volume", "l_orderkey", "l_linenumber"]
+    )
+
+
+def _clusters(t: Tables) -> DataFrame:
+    return calendar.activity_sessions(
+        gold_insider.daily_insider(_silver(t).insider), key="symbol", date="transaction_date",
+        gap_days=gold_insider.CLUSTER_DAYS,
+        totals={
+            "active_days": F.count("*"),
+            "transactions": F.sum("total_transactions_count"),
+            "net_shares_flow": F.sum("net_shares_flow"),
+        },
+    )
+
+
+@query
+def insider_sessions(t):
+    """Runs of insider activity with gaps of three days at most: start, end and size."""
+    return _clusters(t)
+
+
+@query
+def event_study(t):
+    """Daily changes from three days before to three days after the start of each run of activity."""
+    prices = _price(t, "close_price", "price_change_pct_1d").drop("close_price")
+    around = _clusters(t).select(
+        "symbol", "session_start", "active_days",
+        F.date_sub("session_start", EVENT_DAYS).alias("low"), F.date_add("session_start", EVENT_DAYS).alias("high"),
+    )
+    met = intervals.interval_join(prices, around, key="ticket", interval_key="symbol", date="trading_date")
+    return met.select(
+        "ticket", "session_start", "active_days", "trading_date",
+        F.datediff("trading_date", "session_start").alias("day"), "price_change_pct_1d",
+    )
+
+
+@query
+def insider_distinct_rolling(t):
+    """Different insiders of the last five activity days: exact, and whether the merged daily sketches
+    come within their bound."""
+    trades = _silver(t).insider
+    names = {"key": "symbol", "date": "transaction_date"}
+    exact = sketches.exact_over_frames(trades, **names, value="name")
+    merged = sketches.merged_over_frames(sketches.daily_sketches(trades, **names, value="name"), **names)
+    off = F.abs(F.col("estimate") - F.col("distinct_values"))
+    close = off <= F.greatest(F.ceil(F.col("distinct_values") * sketches.BOUND), F.lit(1))
+    return exact.join(merged, list(INSIDER_KEY)).select(*INSIDER_KEY, "distinct_values", close.alias("estimate_within_bound"))
+
+
+# --- Streams ------------------------------------------------------------------------------
+
+#: Days that land together in the stream queries, and how late an article or its copy lands.
+SLICE_DAYS, LATE_DAYS, COPY_DAYS = 12, 4, 2
+
+
+def _fed(t: Tables, rows: DataFrame, land, run, out: str) -> None:
+    """Land the rows slice by slice, in order, and run the stream after each."""
+    staged = f"{out}/staged"
+    rows.write.partitionBy("slice").parquet(staged)
+    read = t.spark.read.parquet(staged)
+    # At most one value for every SLICE_DAYS days of the calendar.
+    for (number,) in sorted(read.select("slice").distinct().collect()):
+        land(read.filter(F.col("slice") == number).drop("slice"))
+        run().awaitTermination()
+
+
+@query
+def stream_news_daily(t):
+    """Daily sentiment of articles that land up to three days late, some of them twice, in slices of
+    twelve days: a stream with a watermark, run after each landing."""
+    out = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    session = batches.stream_session(t.spark)
+    day = F.unix_date(F.to_date(F.col("ts") - F.expr(feeds.EVENT_SHIFT)))
+    landed = day + (F.col("event_id") % LATE_DAYS).cast("int")
+    times = F.when(F.col("event_id") % 5 == 0, F.array(landed, landed + COPY_DAYS)).otherwise(F.array(landed))
+    fields = ["url", "company", "publishedAt", "title", "description", "sentiment"]
+    rows = feeds.articles(t).select(*fields, F.explode(times).alias("landed"))
+    rows = rows.select(*fields, F.floor(F.col("landed") / SLICE_DAYS).alias("slice"))
+    names = feeds.ticker_map(Tables(session, t.folder))
+    schema = rows.drop("slice").schema
+
+    def run():
+        articles = session.readStream.schema(schema).json(f"{out}/landed")
+        return daily.follow_articles(articles, names, f"{out}/days", f"{out}/progress")
+
+    _fed(t, rows, lambda batch: batch.write.mode("append").json(f"{out}/landed"), run, out)
+    return daily.latest_days(t.spark, f"{out}/days")
+
+
+@query
+def stream_news_rolling(t):
+    """Five-day totals of a stream of closed days that comes in slices; each ticker's last five days
+    are all it remembers between them."""
+    lead_workers_here(t.spark)
+    out = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    session = batches.stream_session(t.spark)
+    days = gold_news.daily_news(_silver(t).news)
+    rows = days.withColumn("slice", F.floor(F.unix_date("news_date") / SLICE_DAYS))
+
+    def run():
+        closed = session.readStream.schema(days.schema).parquet(f"{out}/closed")
+        return batches.store_batches(rolling.rolling_signals(closed), f"{out}/signals", f"{out}/progress")
+
+    _fed(t, rows, lambda batch: batch.write.mode("append").parquet(f"{out}/closed"), run, out)
+    return t.spark.read.parquet(f"{out}/signals").drop("batch")
+
+
+#: Events on a result page of the page queries, and every how many-th page can't be read.
+PAGE_EVENTS, BAD_PAGE = 500, 7
+
+
+@query
+def landed_pages_read(t):
+    """Result pages of each company, read by the Python data source as a batch and as a stream: pages,
+    those that can't be read, and articles are the same both ways."""
+    lead_workers_here(t.spark)
+    out = f"{shared_dir(t.spark)}/pages-{uuid.uuid4().hex}"
+    number = F.expr(f"event_id div {PAGE_EVENTS}")
+    article = F.struct("url", "title", "description", "publishedAt")
+    # A page holds the articles of at most PAGE_EVENTS events.
+    listed = feeds.articles(t).groupBy("company", number.alias("number")).agg(F.collect_list(article).alias("articles"))
+    page = F.to_json(F.struct(F.lit("ok").alias("status"), "articles"))
+    cut = F.when(F.col("number") % BAD_PAGE == BAD_PAGE - 1, F.unhex(F.lit("FF")).cast("string")).otherwise(page)
+    listed.select("company", cut.alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("company").text(f"{out}/landed")
+
+    def source(reader):
+        return reader.format("landed_pages").option("path", f"{out}/landed").option("key", "company").load()
+
+    pages.register(t.spark)
+    batches.store_batches(source(t.spark.readStream), f"{out}/taken", f"{out}/progress").awaitTermination()
+    streamed = t.spark.read.parquet(f"{out}/taken").drop("batch")
+    ways = source(t.spark.read).withColumn("way", F.lit("batch")).unionByName(streamed.withColumn("way", F.lit("stream")))
+    judged = landing.judge_payloads(ways, "payload", schemas.NEWS_PAYLOAD, "articles")
+    return judged.groupBy("way", F.col("entity").alias("company")).agg(
+        F.count("*").alias("pages"), F.count("failure").alias("failed"),
+        F.sum(F.coalesce(F.size("items"), F.lit(0))).alias("articles"),
+    )

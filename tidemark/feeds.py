@@ -22,6 +22,7 @@ BRAND_PREFIX, TICKER_PREFIX = "Brand#", "tk"
 COMPANIES = 27
 EVENT_SHIFT = "INTERVAL '9496' DAY"
 TEXTLESS_BELOW = 10
+LANDED_AT = "2024-02-01 00:00:00"
 LABEL_OF_EVENT = {
     "purchase": "good", "signup": "good", "error": "bad", "click": "neutral", "view": "neutral",
 }

@@ -2,6 +2,7 @@
 
     stocks  --root DIR --landing PATH [--format csv] [--sessions N|all] [--tickets A,B|all]
     news    --root DIR --landing PATH [--as-of 2024-01-02] [--companies A,B|all] [--domains A,B]
+    follow  --root DIR --landing PATH         (daily sentiment of newly landed news pages)
     insider --root DIR --landing PATH [--as-of 2024-01-02] [--tickets A,B|all]
     names   --root DIR --landing CSV          (the ticker map)
     build   --root DIR                        (silver and gold)
@@ -24,6 +25,7 @@ from tidemark.plans import analysis, ingestion, pipeline, quality
 from tidemark.session import build_session
 from tidemark.sources import landing
 from tidemark.sources.layers import Layers
+from tidemark.streaming import batches, daily
 
 
 def _listed(text: str | None, default: tuple[str, ...]) -> list[str] | str:
@@ -44,8 +46,9 @@ def news(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
     companies = _listed(args.companies, selection.DEFAULT_COMPANIES)
     domains = _listed(args.domains, selection.DEFAULT_DOMAINS)
 
-    def summary(articles: DataFrame) -> None:
+    def summary(articles: DataFrame, written: dict) -> None:
         """Of this run's articles, copies included."""
+        print(f"{written['stored']} new articles, {written['earliest']} to {written['latest']}")
         for column in ("company", "sentiment"):
             counts_by(articles, column).show(truncate=False)
 
@@ -54,6 +57,17 @@ def news(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
     )
 
 
+def follow(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
+    """Daily sentiment of the pages that landed since the last run."""
+    session = batches.stream_session(spark)
+    names = session.read.parquet(layers.location(pipeline.BRONZE, pipeline.TICKER_MAP))
+    articles = daily.landed_articles(session, args.landing)
+    out = layers.path("gold", "stock_news_daily")
+    daily.follow_articles(articles, names, out, f"{layers.root}/_progress/stock_news_daily").awaitTermination()
+    print(f"{daily.latest_days(spark, out).count()} days with news")
+    return 0
+
+
 def insider(spark: SparkSession, layers: Layers, args: argparse.Namespace) -> int:
     payloads = landing.read_payloads(spark, args.landing)
     symbols = _listed(args.tickets, selection.DEFAULT_TICKETS)
@@ -121,7 +135,7 @@ def _reported(reason: str | None) -> int:
     return 0 if reason is None else 1
 
 
-COMMANDS = {f.__name__: f for f in (stocks, news, insider, names, build, check, analyse)}
+COMMANDS = {f.__name__: f for f in (stocks, news, follow, insider, names, build, check, analyse)}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

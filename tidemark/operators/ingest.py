@@ -6,7 +6,8 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -130,6 +131,15 @@ def strict_batches(df: DataFrame, batch: str, constraints: Constraints) -> DataF
     return constraints.store_types(df.join(bad, batch, "left_anti"))
 
 
+def observed(metrics: Observation, nothing: dict) -> dict:
+    """What a finished write observed. Where nothing was left to write, Spark replaces the plan by an
+    empty one, which observes nothing: then it is ``nothing``."""
+    try:
+        return metrics.get
+    except Py4JJavaError:
+        return nothing
+
+
 def counts_by(df: DataFrame, column: str) -> DataFrame:
     """Run summary: rows per value, most frequent first; NULL is not counted."""
     return (

@@ -132,6 +132,14 @@ STEPS = {
                sum(CASE WHEN change < 0 THEN cents * change ELSE 0 END) AS sold_cents,
                sum(cents * change) AS net_cents, count(*) AS trades
         FROM bronze_insider GROUP BY 1, 2""",
+    "clusters": """
+        SELECT symbol, min(transaction_date) AS session_start, max(transaction_date) AS session_end,
+               count(*) AS active_days, CAST(sum(trades) AS BIGINT) AS transactions, CAST(sum(net) AS BIGINT) AS net_shares_flow
+        FROM (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY transaction_date) AS island
+              FROM (SELECT *, CASE WHEN transaction_date - lag(transaction_date) OVER (
+                                  PARTITION BY symbol ORDER BY transaction_date) <= 3 THEN 0 ELSE 1 END AS fresh
+                    FROM insider_days))
+        GROUP BY symbol, island""",
     "gold_insider": """
         SELECT symbol, transaction_date, insiders AS distinct_insiders_active, bought AS total_shares_bought,
                sold AS total_shares_sold, net AS net_shares_flow,
@@ -400,6 +408,23 @@ ORACLE: dict[str, str] = {
                WHERE title IS NOT NULL AND length(event_type || ' news') > 10)""",
         "articles",
     ),
+    # Of a page's two articles the follow-up differs in its title; a missing text gets no label.
+    "news_run_labels": _with(
+        """SELECT hash, any_value(company) AS company, any_value(label) AS sentiment,
+                  CASE WHEN any_value(length(label)) > 10 THEN 'sentiment longer than 10' ELSE 'stored' END AS outcome
+           FROM (SELECT md5(company || '_' || a.title || '_' || published_text) AS hash, company,
+                        CASE CAST(json_extract(description, '$.k') AS INTEGER) % 3 WHEN 0 THEN 'good' WHEN 1 THEN 'bad'
+                             WHEN 2 THEN 'extremely positive' ELSE 'neutral' END AS label
+                 FROM articles, (SELECT unnest(['', 'Follow-up: ']) AS prefix), LATERAL (SELECT prefix || articles.title AS title) a
+                 WHERE event_type = 'purchase' OR event_type = 'view' AND prefix = '')
+           GROUP BY hash""",
+        "articles",
+    ),
+    "load_stamps": _with(
+        """SELECT 'bronze' AS layer, count(*) AS row_count, count(*) AS stamped, 1 AS stamps, count(*) AS unchanged FROM bars
+           UNION ALL SELECT 'silver', count(*), count(*), 1, count(*) FROM bars""",
+        "bars",
+    ),
     "insider_date_parse": _with(
         """SELECT l_orderkey, l_linenumber, CASE WHEN change <> 0 THEN filing_date END AS filing_date,
                   transaction_date
@@ -528,6 +553,23 @@ ORACLE: dict[str, str] = {
         f"SELECT {INSIDER_KEY}, rolling_5_day_sentiment, is_activity_cluster FROM gold_insider", "gold_insider"
     ),
     # Quality
+    "gold_price_incremental": _with("SELECT * FROM gold_price", "gold_price"),
+    "gold_news_reconciled": _with(
+        """, fewer AS (
+               SELECT ticket, CAST(published_at AS DATE) AS news_date, count(*) AS n,
+                      count(*) FILTER (sentiment = 'good') AS good, count(*) FILTER (sentiment = 'bad') AS bad,
+                      count(*) FILTER (sentiment = 'neutral') AS neutral
+               FROM (SELECT n.*, upper(m.ticket) AS ticket
+                     FROM (SELECT * FROM news_keyed WHERE event_id % 499 <> 0
+                           QUALIFY row_number() OVER (PARTITION BY hash ORDER BY event_id) = 1) n
+                     LEFT JOIN ticker_map m ON upper(n.company) = upper(m.company) WHERE n.description IS NOT NULL)
+               GROUP BY 1, 2)
+           SELECT ticket, news_date, n AS daily_news_count, good AS daily_good_news_count, bad AS daily_bad_news_count,
+                  neutral AS daily_neutral_news_count, only_in, 1 AS copies
+           FROM (SELECT *, 'whole' AS only_in FROM (SELECT * FROM news_days EXCEPT ALL SELECT * FROM fewer)
+                 UNION ALL SELECT *, 'partial' FROM (SELECT * FROM fewer EXCEPT ALL SELECT * FROM news_days))""",
+        "news_days",
+    ),
     "dq_unique": _with(
         " UNION ALL ".join(
             [
@@ -654,4 +696,75 @@ ORACLE: dict[str, str] = {
            FROM master WHERE price_change_pct_1d IS NOT NULL GROUP BY 1""",
         "master",
     ),
+    # Matches in time
+    "news_next_session": _with(
+        f"""SELECT n.hash AS hash_news, n.ticket, CAST(n.published_at AS DATE) AS news_date, b.day AS trading_date,
+                  {_money('b.close')} AS close_price
+           FROM (SELECT *, CAST(published_at AS DATE) AS news_day FROM silver_news) n
+           ASOF LEFT JOIN bars b ON n.ticket = b.ticket AND n.news_day <= b.day""",
+        "silver_news", "bars",
+    ),
+    "insider_last_close": _with(
+        f"""SELECT i.hash AS insider_transactions_hash, i.symbol, i.transaction_date, i.change, b.day AS trading_date,
+                  {_money('b.close')} AS close_price
+           FROM bronze_insider i ASOF LEFT JOIN bars b ON i.symbol = b.ticket AND i.transaction_date >= b.day""",
+        "bronze_insider", "bars",
+    ),
+    "news_per_session": _with(
+        """SELECT n.ticket, b.day AS trading_date, count(*) AS news_count
+           FROM (SELECT *, CAST(published_at AS DATE) AS news_day FROM silver_news) n
+           ASOF JOIN bars b ON n.ticket = b.ticket AND n.news_day <= b.day GROUP BY 1, 2""",
+        "silver_news", "bars",
+    ),
+    "price_calendar_frames": _with(
+        f"""SELECT ticket, day AS trading_date, count(*) OVER w AS sessions, CAST(sum(volume) OVER w AS BIGINT) AS volume,
+                  {_money('min(low) OVER w')} AS low,
+                  {_hundredths('sum(close) OVER w', '10000 * count(*) OVER w')} AS mean_close
+           FROM bars WINDOW w AS (PARTITION BY ticket ORDER BY day RANGE BETWEEN INTERVAL 4 DAYS PRECEDING AND CURRENT ROW)""",
+        "bars",
+    ),
+    "quote_calendar_frames": _with(
+        """SELECT ticket, day, size AS volume, l_orderkey, l_linenumber, count(*) OVER w AS recent_quotes,
+                  CAST(sum(size) OVER w AS BIGINT) AS recent_volume
+           FROM lines WINDOW w AS (PARTITION BY ticket ORDER BY day RANGE BETWEEN INTERVAL 4 DAYS PRECEDING AND CURRENT ROW)""",
+        "lines",
+    ),
+    "insider_sessions": _with(
+        """SELECT symbol, session_start, session_end, active_days, transactions, net_shares_flow FROM clusters""", "clusters"
+    ),
+    "event_study": _with(
+        """SELECT p.ticket, c.session_start, c.active_days, p.trading_date,
+                  CAST(p.trading_date - c.session_start AS INTEGER) AS day, p.price_change_pct_1d
+           FROM gold_price p JOIN clusters c ON p.ticket = c.symbol
+                AND p.trading_date BETWEEN c.session_start - 3 AND c.session_start + 3""",
+        "gold_price", "clusters",
+    ),
+    "insider_distinct_rolling": _with(
+        """SELECT d.symbol, d.transaction_date, count(DISTINCT b.name) AS distinct_values, TRUE AS estimate_within_bound
+           FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY transaction_date) AS n FROM insider_days) d
+           JOIN (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY transaction_date) AS n FROM insider_days) e
+                ON d.symbol = e.symbol AND e.n BETWEEN d.n - 4 AND d.n
+           JOIN bronze_insider b ON b.symbol = e.symbol AND b.transaction_date = e.transaction_date
+           GROUP BY 1, 2""",
+        "insider_days", "bronze_insider",
+    ),
+    # Streams: the same as the batch
+    "stream_news_daily": _with(
+        """SELECT ticket, news_date, n AS daily_news_count, good AS daily_good_news_count,
+                  bad AS daily_bad_news_count, neutral AS daily_neutral_news_count FROM news_days""",
+        "news_days",
+    ),
+    "stream_news_rolling": _with(
+        f"""SELECT {NEWS_KEY}, rolling_5d_news_count, rolling_5d_good_news_count, rolling_5d_bad_news_count,
+                  rolling_5d_neutral_news_count FROM gold_news""",
+        "gold_news",
+    ),
+    "landed_pages_read": _with(
+        """SELECT way, company, count(*) AS pages, count(*) FILTER (number % 7 = 6) AS failed,
+                  CAST(coalesce(sum(n) FILTER (number % 7 <> 6), 0) AS BIGINT) AS articles
+           FROM (SELECT company, event_id // 500 AS number, count(*) AS n FROM articles GROUP BY 1, 2),
+                (VALUES ('batch'), ('stream')) AS ways(way)
+           GROUP BY 1, 2""",
+        "articles",
+    ),
 }

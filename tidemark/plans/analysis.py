@@ -60,15 +60,16 @@ def target_ticker(silver_stocks: DataFrame, preferred: str = PREFERRED_TICKER) -
 def for_target(silver: Silver, preferred: str = PREFERRED_TICKER) -> Silver:
     """The silver feeds of the target ticker only.
 
-    Every gold window runs within a ticker, so the filter may go below them: the other
-    tickers are dropped before any shuffle. The broadcast side is a single row by its LIMIT,
-    found once for all three joins.
+    Its name is found first and brought to the driver, one row by its LIMIT, so that the feeds are
+    filtered by a literal: every gold window runs within a ticker, and the filter goes below the
+    windows, the aggregates and the joins into the scans. Without prices the feeds are empty.
     """
-    one = F.broadcast(target_ticker(silver.stocks, preferred).withColumnRenamed("ticket", "_target"))
+    found = target_ticker(silver.stocks, preferred).first()
+    name = F.lit(found["ticket"] if found else None)
     return Silver(
-        stocks=silver.stocks.join(one, F.col("ticket") == F.col("_target"), "left_semi"),
-        news=silver.news.join(one, F.col("ticket") == F.col("_target"), "left_semi"),
-        insider=silver.insider.join(one, F.col("symbol") == F.col("_target"), "left_semi"),
+        stocks=silver.stocks.filter(F.col("ticket") == name),
+        news=silver.news.filter(F.col("ticket") == name),
+        insider=silver.insider.filter(F.col("symbol") == name),
     )
 
 

@@ -9,11 +9,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators import selection
+from tidemark.operators import ingest, selection
 from tidemark.operators.ingest import first_write_wins
 from tidemark.operators.labelling import label_with_lexicon
 from tidemark.plans import pipeline
@@ -22,6 +22,7 @@ from tidemark.sources.layers import BronzeTable, Layers
 from tidemark.sources.sinks import store_or_csv
 
 ARRIVAL = (landing.LANDED, landing.POSITION)
+NOTHING = {"stored": 0, "earliest": None, "latest": None}
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -31,10 +32,10 @@ def _flat(df: DataFrame) -> DataFrame:
 
 def _store(
     layers: Layers, table: BronzeTable, batch: DataFrame, arrival: tuple[str, ...],
-    *, save: bool, strict: bool, label: Callable[[DataFrame], DataFrame] | None = None,
+    *, save: bool, strict: bool, metrics: Observation | None = None,
 ) -> str | None:
     def append(rows: DataFrame) -> None:
-        layers.append_new(table, rows, arrival, strict=strict, label=label, drop=ARRIVAL)
+        layers.append_new(table, rows, arrival, strict=strict, drop=ARRIVAL, metrics=metrics)
 
     backup = f"{layers.root}/csv/{table.name}"
     return store_or_csv(batch, append, backup, save, _flat)
@@ -89,15 +90,21 @@ def ingest_news(
     language: str = selection.DEFAULT_LANGUAGE,
     save: bool = True,
     strict: bool = True,
-    report: Callable[[DataFrame], None] | None = None,
+    report: Callable[[DataFrame, dict], None] | None = None,
 ) -> str | None:
     """The articles of the companies' landed documents, the newest ``per_page`` different ones of
     each document, which is one result page.
 
     With ``as_of`` only those that a request of that day would bring: since the day before, that
     name the company, from the sites, and in the language where the documents' rows tell it.
-    ``report`` gets the run's labelled articles, copies included. Documents without usable
-    articles are recorded in ``news_skipped``.
+    Articles that the table does not hold are labelled once, and judged by the table's rules
+    with their labels: a label that is too long refuses a strict run, which then leaves its
+    labelled articles as CSV. A strict run with an article that is refused anyway asks for no label.
+    Without ``save`` the articles are labelled for the CSV.
+
+    ``report`` gets the run's articles, copies included, with their stored labels, NULL for one that
+    is not stored, and what the write observed (``stored``, ``earliest``, ``latest``): no article is
+    labelled for it. Documents without usable articles are recorded in ``news_skipped``.
     """
     asked = selection.in_universe(payloads, "company", companies)
     carried = [*ARRIVAL, *[c for c in ("language",) if c in asked.columns]]
@@ -115,9 +122,37 @@ def ingest_news(
         document = ("company", landing.LANDED)
         different = first_write_wins(keyed, ARRIVAL, (*document, "hash"))
         page = selection.newest_articles(different, per_page, document)
-        if report is not None:
-            report(label(keyed.drop("sentiment")))
-        return _store(layers, pipeline.NEWS, page, ARRIVAL, save=save, strict=strict, label=label)
+        if save:
+            page = layers.new_rows(pipeline.NEWS, page, ARRIVAL, drop=ARRIVAL)
+        else:
+            page = first_write_wins(page, ARRIVAL).drop(*ARRIVAL)
+        labelled, answers = _labelled(layers, page, label, strict)
+        try:
+            metrics = Observation("news")
+            reason = _store(layers, pipeline.NEWS, labelled, (), save=save, strict=strict, metrics=metrics)
+        finally:
+            layers.remove(answers)
+        if report is not None and reason is None:
+            stored = layers.read("bronze", pipeline.NEWS.name).select("hash", "sentiment")
+            report(keyed.drop("sentiment").join(stored, "hash", "left"), ingest.observed(metrics, NOTHING))
+        return reason
+    finally:
+        layers.remove(place)
+
+
+def _labelled(
+    layers: Layers, articles: DataFrame, label: Callable[[DataFrame], DataFrame], strict: bool
+) -> tuple[DataFrame, str]:
+    """The articles with labels, written once, and where. Those that the table refuses whatever
+    their label is get none, and no one does if that refuses the whole run."""
+    judged, place = layers.stage("articles", ingest.judged(articles, pipeline.NEWS.constraints))
+    try:
+        broken = F.size(ingest.BROKEN) > 0
+        refused = judged.filter(broken)
+        if strict and not refused.isEmpty():
+            return layers.stage("labelled", judged.drop(ingest.BROKEN))
+        asked = label(judged.filter(~broken).drop(ingest.BROKEN, "sentiment"))
+        return layers.stage("labelled", asked.unionByName(refused.drop(ingest.BROKEN)))
     finally:
         layers.remove(place)
 

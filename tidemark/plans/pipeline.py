@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,25 +43,31 @@ def read_gold(layers: Layers) -> Gold:
     return Gold(**{part: layers.read(GOLD, name) for part, name in GOLD_TABLES.items()})
 
 
+def _at_once(layers: Layers, layer: str, tables: dict[str, tuple[str, DataFrame]]) -> dict[str, DataFrame]:
+    """Rebuild tables that don't need each other from threads, so that the end of one write, when few
+    of its tasks are left, overlaps with the others."""
+
+    def rebuild(name: str, rows: DataFrame) -> DataFrame:
+        return layers.rebuild(layer, name, rows)
+
+    with ThreadPoolExecutor(len(tables)) as pool:
+        begun = {
+            part: pool.submit(inheritable_thread_target(layers.spark)(rebuild), name, rows)
+            for part, (name, rows) in tables.items()
+        }
+        return {part: future.result() for part, future in begun.items()}
+
+
 def build_layers(layers: Layers, bronze: Bronze | None = None) -> Gold:
     """Rebuild silver from bronze and gold from the written silver.
 
-    Each layer is read back from its files, so a lost executor replays one layer at most.
+    Each layer is read back from its files, so a lost executor replays one layer at most. The tables
+    of a layer are written side by side.
     """
     silver = silver_plan.build(bronze or read_bronze(layers))
-    written = Silver(
-        **{
-            part: layers.rebuild(SILVER, name, silver_plan.stamped(getattr(silver, part)))
-            for part, name in SILVER_TABLES.items()
-        }
-    )
-    gold = gold_plan.build(written)
-    return Gold(
-        **{
-            part: layers.rebuild(GOLD, name, getattr(gold, part))
-            for part, name in GOLD_TABLES.items()
-        }
-    )
+    stamped = {p: (n, silver_plan.stamped(getattr(silver, p))) for p, n in SILVER_TABLES.items()}
+    gold = gold_plan.build(Silver(**_at_once(layers, SILVER, stamped)))
+    return Gold(**_at_once(layers, GOLD, {p: (n, getattr(gold, p)) for p, n in GOLD_TABLES.items()}))
 
 
 def register_layers(layers: Layers) -> None:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ingest import (
@@ -33,6 +33,9 @@ class BronzeTable:
     constraints: Constraints
     key: str = "hash"
 
+    def month(self) -> Column:
+        return F.coalesce(F.date_format(F.col(self.date), "yyyy-MM"), F.lit("undated"))
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -108,39 +111,54 @@ class Layers:
         df.write.parquet(path)
         return self.spark.read.parquet(path), path
 
+    def new_rows(
+        self, table: BronzeTable, batch: DataFrame, arrival: Sequence[str | Column], drop: Sequence[str] = ()
+    ) -> DataFrame:
+        """The batch's first row of each key that the table does not hold."""
+        first = first_write_wins(batch, arrival, table.key).drop(*drop).withColumn(MONTH, table.month())
+        return self._unstored(table, first).drop(MONTH)
+
+    def _unstored(self, table: BronzeTable, rows: DataFrame) -> DataFrame:
+        """Rows whose key is not stored. The stored side is read for the rows' months only: a key
+        contains its date, so a duplicate has the same month."""
+        if not self.exists("bronze", table.name):
+            return rows
+        # At most one value per calendar month of the batch.
+        months = [r[0] for r in rows.select(MONTH).distinct().collect()]
+        stored = self.read("bronze", table.name).filter(F.col(MONTH).isin(months))
+        return not_yet_stored(rows, stored, table.key)
+
     def append_new(
         self,
         table: BronzeTable,
         batch: DataFrame,
-        arrival: Sequence[str | Column],
+        arrival: Sequence[str | Column] = (),
         *,
         strict: bool = True,
         label: Callable[[DataFrame], DataFrame] | None = None,
         drop: Sequence[str] = (),
+        metrics: Observation | None = None,
     ) -> DataFrame | None:
         """Add the batch's new keys to a bronze table; a repeated batch adds nothing.
 
         The batch is de-duplicated, judged and written to a staging table first, so its plan
         runs once: the checks, the month list and the append read the staged columns they need.
         ``strict`` refuses the whole batch when a row breaks a constraint; otherwise such rows
-        go to ``bronze/<name>_rejected``, which is returned. The staging folder is the run's own
-        and goes when it ends. ``label`` runs on the new rows
-        only, so a model is never asked about a stored row. ``drop`` names columns that only
-        order the batch. The stored side is read for the batch's months only: a key contains
-        its date, so a duplicate has the same month. The rebalance hint lets AQE split a hot
-        month and merge small ones before the files are written, without the extra run of the
-        labels that range sampling would cost.
+        go to ``bronze/<name>_rejected``, which is returned. The staging folders are the run's own
+        and go when it ends. ``label`` runs once, on the new good rows only, so a model is never
+        asked about a stored row; what it answers is staged and judged like the rest. ``drop``
+        names columns that only order the batch; a batch without ``arrival`` is unique by key
+        already. The rebalance hint lets AQE split a hot month and merge small ones before the files
+        are written. ``metrics`` observes the write: ``stored``, the number of rows, and ``earliest`` and
+        ``latest``, their dates, without another pass over them.
+
+        Runs on one table must follow each other: two at a time can both append a key.
         """
-        month = F.coalesce(F.date_format(F.col(table.date), "yyyy-MM"), F.lit("undated"))
-        rules = table.constraints
-        staged, place = self.stage(
-            table.name,
-            judged(first_write_wins(batch, arrival, table.key).drop(*drop), rules).withColumn(
-                MONTH, month
-            ),
-        )
+        first = first_write_wins(batch, arrival, table.key) if arrival else batch
+        rows = judged(first.drop(*drop), table.constraints).withColumn(MONTH, table.month())
+        staged, place = self.stage(table.name, rows)
         try:
-            self._append_staged(table, staged, strict, label)
+            self._append_staged(table, staged, strict, label, metrics)
         finally:
             self.remove(place)
         return None if strict else self.read("bronze", f"{table.name}_rejected")
@@ -151,19 +169,34 @@ class Layers:
         staged: DataFrame,
         strict: bool,
         label: Callable[[DataFrame], DataFrame] | None,
+        metrics: Observation | None,
     ) -> None:
         if strict:
             refuse_broken(staged)
         fresh, rejected = split_judged(staged, table.constraints)
+        fresh = self._unstored(table, fresh)
+        if label is None:
+            self._append(table, fresh, rejected, strict, metrics)
+            return
+        answered, place = self.stage(table.name, judged(label(fresh), table.constraints))
+        try:
+            if strict:
+                refuse_broken(answered)
+            fresh, refused = split_judged(answered, table.constraints)
+            self._append(table, fresh, rejected.unionByName(refused), strict, metrics)
+        finally:
+            self.remove(place)
+
+    def _append(
+        self, table: BronzeTable, fresh: DataFrame, rejected: DataFrame, strict: bool, metrics: Observation | None
+    ) -> None:
         if not strict:
             self.append_missing(f"{table.name}_rejected", rejected, table.key)
-        if self.exists("bronze", table.name):
-            # At most one value per calendar month of the batch.
-            months = [r[0] for r in fresh.select(MONTH).distinct().collect()]
-            stored = self.read("bronze", table.name).filter(F.col(MONTH).isin(months))
-            fresh = not_yet_stored(fresh, stored, table.key)
-        if label is not None:
-            fresh = label(fresh)
+        if metrics is not None:
+            day = F.to_date(table.date)
+            fresh = fresh.observe(
+                metrics, F.count("*").alias("stored"), F.min(day).alias("earliest"), F.max(day).alias("latest")
+            )
         (
             fresh.withColumn("created_at", F.current_timestamp())
             .hint("rebalance", MONTH)
