@@ -1,15 +1,18 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
+import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidemark.llm import langid, quality, suffix_tree, toxicity
 from tidemark.llm.queries import QUERIES
+from tidemark.llm.samples import labelled_sample
 
 SF = "/root/testdata/sf0.01"
 
@@ -236,3 +239,125 @@ def test_texts_of_one_form_are_told_apart_by_their_words(rows):
     model = quality.learn(docs, rows([(i, 1 - i % 2) for i in range(120)], "doc_id long, quality int"))
     found = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
     assert brute.auc([found[i] for i in range(120, 200)], [1 - i % 2 for i in range(120, 200)]) > 0.99
+
+
+# ---- toxicity: expressions of several words, and a plain version
+
+
+def phrases(rng, toxic_end, ordinary_end, n=3000):
+    """Texts of common words, every eighth toxic; either kind ends in its own phrase."""
+    common = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)] + ["you"]
+    data = []
+    for i in range(n):
+        words = [rng.choice(common) for _ in range(rng.randrange(8, 40))]
+        data.append((i, " ".join([*words, toxic_end if i % 8 == 0 else ordinary_end]), int(i % 8 == 0)))
+    return data
+
+
+@pytest.mark.parametrize(
+    "toxic_end,ordinary_end",
+    [("you zorgle", "you person"), ("wordaa wordab", "wordab wordaa"), ("wordaa wordab", "")],
+)
+def test_phrases_tell_even_of_ordinary_words(rows, toxic_end, ordinary_end):
+    data = phrases(random.Random(8), toxic_end, ordinary_end)
+    docs, marks = rows([d[:2] for d in data], "doc_id long, text string"), rows([(i, y) for i, _, y in data], "doc_id long, toxic int")
+    held = F.col("doc_id") % 4 == 1
+    model = toxicity.learn(docs.filter(~held), marks.filter(~held))
+    # Ids of toxic texts are divisible by 8, so held-out ones of both kinds come from a second draw.
+    again = phrases(random.Random(9), toxic_end, ordinary_end, 800)
+    found = toxicity.score_toxicity(rows([d[:2] for d in again], "doc_id long, text string"), model).collect()
+    assert brute.auc([r.score for r in found], [again[r.doc_id][2] for r in found]) > 0.95
+
+
+def plain_ratios(fitted):
+    """(words, pairs, rest) of (text, label) rows, counted one by one."""
+    pairs, runs, size = defaultdict(Counter), {1: defaultdict(Counter), 2: defaultdict(Counter)}, Counter(y for _, y in fitted)
+    for text, y in fitted:
+        w = ["", *toxicity.words_of(text), ""]
+        for run in set(zip(w, w[1:-1])):
+            pairs[run][y] += 1
+        for n in runs:
+            for run in set(zip(*(["", *w, ""][i:] for i in range(n + 4)))):
+                runs[n][run][y] += 1
+
+    def telling(counted):
+        seen = defaultdict(lambda: [[0, 0], [0, 0]])  # class: contexts, texts
+        for run, n in counted.items():
+            for y in n:
+                seen[run[2:-2]][y][0] += 1
+                seen[run[2:-2]][y][1] += n[y]
+        kept = set()
+        for x, c in seen.items():
+            e1, e0 = (k * k / i if i else 0 for k, i in (c[1], c[0]))
+            spread = math.sqrt((e1 + e0) / (size[1] + size[0]) * (1 / size[1] + 1 / size[0]))
+            apart = abs(e1 / size[1] - e0 / size[0]) >= toxicity.DEVIATIONS * spread
+            if e1 + e0 >= toxicity.LEAST and apart and abs(math.log(((e1 + 0.5) / size[1]) / ((e0 + 0.5) / size[0]))) >= math.log(toxicity.FACTOR):
+                kept.add(x)
+        return kept
+
+    k = {c: Counter(b for (_, b), n in pairs.items() if n[c]) for c in (0, 1)}
+    either = Counter(b for _, b in pairs)
+    d = toxicity.DISCOUNT
+
+    def low(w, c):
+        total = sum(k[c].values())
+        return max(k[c][w] - d, 0) / total + d * len(k[c]) / total * either[w] / sum(either.values())
+
+    words = {x for (x,) in telling(runs[1])}
+    phrases = {(a, b) for a, b in telling(runs[2]) if a not in words and b not in words}
+    left = {c: (1 - sum(low(w, c) for w in words)) / (1 - sum(either[w] for w in words) / sum(either.values())) for c in (0, 1)}
+
+    def p(a, b, c):
+        back = low(b, c) if b in words else either[b] / sum(either.values()) * left[c]
+        own = [n[c] for (x, _), n in pairs.items() if x == a and n[c]]
+        return max(pairs[a, b][c] - d, 0) / sum(own) + d * len(own) / sum(own) * back if own else back
+
+    kept = phrases | {x for x, n in list(pairs.items()) if x[1] in words and sum(n.values()) >= 2}
+    return (
+        {w: math.log(low(w, 1) / low(w, 0)) for w in words},
+        {(a, b): math.log(p(a, b, 1) / p(a, b, 0)) for a, b in kept},
+        math.log(left[1] / left[0]),
+    )
+
+
+def test_ratios_equal_a_plain_count(rows):
+    rng = random.Random(4)
+    data = phrases(rng, "you zorgle", "wordaa wordab", 400) + [(1000 + i, f"vile number{i % 9} word{i % 7}", 1) for i in range(60)]
+    docs, marks = rows([d[:2] for d in data], "doc_id long, text string"), rows([(i, y) for i, _, y in data], "doc_id long, toxic int")
+    model = toxicity.learn(docs, marks)
+    sample = labelled_sample(docs, marks, "toxic", toxicity.SAMPLE_ROWS).collect()
+    words, pairs, rest = plain_ratios([(r.text, r.label) for r in sample if r.h % toxicity.CALIBRATION])
+    assert words and pairs and model.words.keys() == words.keys() and model.pairs.keys() == pairs.keys()
+    assert all(math.isclose(model.words[w], x, abs_tol=1e-9) for w, x in words.items())
+    assert all(math.isclose(model.pairs[w], x, abs_tol=1e-9) for w, x in pairs.items())
+    assert math.isclose(model.rest, rest, abs_tol=1e-9)
+
+
+# ---- language identification: long texts, and a plain version
+
+
+def test_a_language_of_long_texts_only_is_learned(rows):
+    rng = random.Random(1)
+    words = {"en": ["the", "cat", "dog", "house", "with", "and"], "de": ["der", "hund", "katze", "haus", "mit", "und"]}
+    def text(lang, n):
+        return " ".join(rng.choice(words[lang]) for _ in range(n))
+    train = [(text("en", 60), "en") for _ in range(30)] + [(text("de", 9000), "de") for _ in range(5)] + [(text("en", 60), "en")] * 3000
+    learned = langid.learn_dictionaries(rows(train, "text string, lang string"))
+    assert set(learned) == {"en", "de"} and 8000 < len(learned["de"]) <= langid.DICTIONARY_BYTES
+    asked = rows([(i, text(lang, 40), lang) for i, lang in enumerate(["en", "de"] * 20)], "doc_id long, text string, lang string")
+    assert all(r.lang_pred == r.lang for r in langid.identify(asked, learned).collect())
+
+
+def test_predictions_equal_plain_compression(spark, documents):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150).select("doc_id", "text")
+    learned = langid.learn_dictionaries(spark.read.parquet(f"{SF}/documents.parquet"))
+
+    def size(data, content):
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        c = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return sum(len(c.compress(data[i : i + langid.BLOCK])) for i in range(0, len(data), langid.BLOCK))
+
+    for r in langid.identify(docs, learned).collect():
+        data = langid.letters(r.text or "")
+        sizes = {lang: size(data, content) for lang, content in learned.items()}
+        assert r.lang_pred == (min(sizes, key=sizes.get) if data else langid.UNKNOWN)
