@@ -21,6 +21,9 @@ DICTIONARY_BYTES = 64 * 1024
 LEVEL = 6
 #: Texts are compressed in blocks, so that a long one keeps meeting the dictionary and not its own past.
 BLOCK = 4096
+#: Long texts enter a dictionary by so many characters' worth of blocks, spread over the whole text.
+SPREAD = 16
+SPREAD_BLOCK = 1024
 #: A margin below this share of the second-best size rejects the prediction of a text with at
 #: least so many bytes of letters; in shorter ones the sizes are too coarse to tell.
 MARGIN = 0.01
@@ -37,35 +40,40 @@ def letters(text: str) -> bytes:
 def learn_dictionaries(
     labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES
 ) -> dict[str, bytes]:
-    """A raw-content dictionary for each language: whole texts of a sample, up to ``size`` bytes.
+    """A raw-content dictionary for each language: texts of a sample, up to ``size`` bytes.
 
-    The sample is bounded: of each language the ``rows`` texts, of at most a quarter of
-    ``size`` each, with the lowest hash of their text. Texts that repeat count once. Rows
-    without text or language teach nothing. The sample, at most rows x size / 4 bytes a
+    The sample is bounded: of each language the ``rows`` different texts with the lowest hash,
+    of a text longer than ``SPREAD`` blocks that many blocks spread over all of it. Texts that
+    repeat count once, also for the size of a language that the sample is chosen by. Rows
+    without text or language teach nothing. The sample, at most rows x 16,384 characters a
     language, is the only thing that reaches the driver. Languages come by falling number of
-    rows, then by name, and ties between them go to the first.
+    different texts, then by name, and ties between them go to the first.
     """
-    short = labelled.filter(
-        f"`{lang}` is not null and length(trim(`{text}`)) > 0 and octet_length(`{text}`) <= {size // 4}"
-    ).select(F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t"))
-    counts = {
-        r["lang"]: r["count"]
-        for r in labelled.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).count().collect()
-    }
+    width = SPREAD * SPREAD_BLOCK
+    spread = (
+        f"if(length(t) <= {width}, t, array_join(transform(sequence(0, {SPREAD - 1}), i -> "
+        f"substring(t, cast(floor(i * (length(t) - {SPREAD_BLOCK}) / {SPREAD - 1}) as int) + 1, {SPREAD_BLOCK})), ' '))"
+    )
+    usable = labelled.filter(f"`{lang}` is not null and length(trim(`{text}`)) > 0").select(
+        F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("t")
+    )
+    distinct = usable.select("lang", "h").distinct()
+    counts = {r["lang"]: r["count"] for r in distinct.groupBy("lang").count().collect()}
     names = sorted(counts, key=lambda n: (-counts[n], n))
     sizes = labelled.sparkSession.createDataFrame(list(counts.items()), "lang string, size long")
     # Only hashes go through the ranking, and few of them; the texts of those that are chosen are fetched after.
     chosen = (
-        short.select("lang", "h")
-        .join(F.broadcast(sizes), "lang")
+        distinct.join(F.broadcast(sizes), "lang")
         .filter(likely(F.col("h"), rows, F.col("size")))
         .select("lang", "h")
-        .distinct()
         .withColumn("n", F.expr("row_number() over (partition by lang order by pmod(h, 1099511627776), h)"))
         .filter(F.col("n") <= rows)
         .drop("n")
     )
-    found = short.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
+    found = (
+        usable.join(F.broadcast(chosen), ["lang", "h"])
+        .select("lang", "h", F.expr(spread).alias("t")).dropDuplicates(["lang", "h"])
+    )
     texts: dict[str, list[tuple[int, bytes]]] = {}
     for row in found.collect():
         texts.setdefault(row["lang"], []).append((row["h"], letters(row["t"])))
@@ -73,7 +81,8 @@ def learn_dictionaries(
     for name in (n for n in names if n in texts):
         parts, room = [], size
         for _, data in sorted(texts[name]):
-            if 0 < len(data) < room:
+            if 0 < len(data[: size // 4]) < room:
+                data = data[: size // 4]
                 parts.append(data)
                 room -= len(data) + 1
         if parts:
@@ -140,8 +149,8 @@ def identify(
 
     A text that is null or has no letter is ``und`` with score 0, and rejected; so is every
     text if nothing was learned. A margin below ``margin`` rejects a text of ``EVIDENCE`` bytes
-    of letters or more, but keeps its language for those who want it. Whole texts are compressed, in blocks. Equal texts get equal results.
-    Other columns pass through; a new column whose name exists gets an underscore. One pass, no
+    of letters or more, but keeps its language for those who want it. Whole texts are compressed,
+    in blocks. Equal texts get equal results. Other columns pass through; a new column whose name exists gets an underscore. One pass, no
     shuffle; the dictionaries travel with the task, at most ``DICTIONARY_BYTES`` a language.
     """
     new = []
