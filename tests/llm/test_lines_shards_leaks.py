@@ -179,6 +179,30 @@ def test_windows_of_several_lengths(rows, monkeypatch, limit):
     assert {r.doc_id for r in found if r.contaminated} == {1, 3, 7, 8}
 
 
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_WINDOWS, 0])
+def test_a_text_of_100_000_words_both_ways(rows, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", limit)
+    words = [f"w{i * 7919 % 10007}" for i in range(100_000)]
+    item = " ".join(words[50_000:50_030])
+    data = [(1, " ".join(words)), (1, " ".join(words)), (None, "w1 w2"), (2, None), (3, item)]
+    docs, items = rows(data, "doc_id long, text string"), rows([(1, item), (2, "never there")], "item_id long, text string")
+    found = sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in decontaminate.find_contamination(docs, items).collect())
+    want = brute.decontaminate([(1, " ".join(words)), (3, item)], [(1, item), (2, "never there")])
+    assert found == [
+        ("1", 100_000, want[1][1], ["1"]), ("1", 100_000, want[1][1], ["1"]), ("2", 0, 0, []), ("3", 30, 30, ["1"]), ("None", 2, 0, [])
+    ]
+
+
+def test_the_shuffled_way_carries_windows_not_texts(rows):
+    def probes(n):
+        docs = rows([(1, " ".join(f"w{i}" for i in range(n)))], "doc_id long, text string")
+        keyed = decontaminate.window_probes(docs, [2, 10])
+        return keyed.selectExpr("sum(length(own)) as bytes", "count(*) as n").first()
+
+    (small, _), (large, n) = probes(2000), probes(8000)
+    assert n == 8000 - 1 + 8000 - 9 and large < 5 * small
+
+
 def test_dropping_documents_or_spans(rows):
     data = [(d, t, "x", d) for d, t in TEXTS] + [(None, "short one", None, None), (7, "clean", "x", 7), (9, "clean", "x", 1), (9, "clean", "x", 1)]
     docs = rows(data, "doc_id long, text string, window string, hits int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, free_name
+from tidemark.llm.common import ascii_lower, cut, free_name
 
 WINDOW = 10
 #: The windows of the benchmark are broadcast up to this many; beyond it the join shuffles.
@@ -42,7 +42,6 @@ def scan(
     lengths: list[int],
     doc_id: str = "doc_id",
     text: str = "text",
-    broadcast: bool = True,
 ) -> DataFrame:
     """One row per (doc_id, text): id, text_hash, copies, n_words, hits, items.
 
@@ -84,7 +83,7 @@ def scan(
         begins += f" when {n} then 1" + "".join(f" + greatest(size(w) - {m - 1}, 0)" for m in lengths[:k])
     pos = f"at - ({begins} else 0 end)"
     found = probes.join(
-        F.broadcast(known) if broadcast else known,
+        F.broadcast(known),
         (F.col("hash") == F.col("b_hash"))
         & F.expr(
             f"if(b_length = 0, at = 0, array_join(slice(w, greatest({pos}, 0) + 1, b_length), ' ') = window)"
@@ -109,6 +108,61 @@ def scan(
     )
 
 
+def _worded(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), words_of(F.col(text)).alias("w"))
+
+
+def window_probes(docs: DataFrame, lengths: list[int], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, text_hash, pos, length, hash, own): every window of the ``lengths``, with its own words only."""
+    runs = [
+        F.expr(
+            f"transform(slice(w, 1, greatest(size(w) - {n - 1}, 0)), (x, i) -> struct(i as pos, {n} as length, "
+            f"xxhash64(slice(w, i + 1, {n})) as hash, array_join(slice(w, i + 1, {n}), ' ') as own))"
+        )
+        for n in lengths
+    ]
+    return (
+        _worded(docs, doc_id, text).select("id", "text_hash", F.concat(*runs).alias("runs"))
+        .select("id", "text_hash", F.explode_outer("runs").alias("run"))
+        .filter("run is not null").select("id", "text_hash", "run.*")
+    )
+
+
+def scan_by_join(docs: DataFrame, windows: DataFrame, lengths: list[int], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``scan`` gives, for windows too many to broadcast.
+
+    Each window of a document goes through a shuffle with its place, its hash and its own words,
+    and with nothing else of the text, so what is shuffled grows with the length of the texts.
+    Numbers of words come from a projection of their own. The benchmark's windows are
+    checkpointed, so both sides of the join are plain shuffles and AQE splits a window that many
+    documents hold.
+    """
+    keyed = _worded(docs, doc_id, text)
+    counted = keyed.groupBy("id", "text_hash").agg(
+        F.count("*").alias("copies"), F.max(F.size("w")).cast("long").alias("n_words")
+    )
+    none = F.array()
+    if not lengths:
+        return counted.select(
+            "*", none.cast("array<struct<pos:int,length:int>>").alias("hits"), none.cast("array<string>").alias("items")
+        )
+    known = cut(windows.select("hash", F.col("length").cast("int").alias("length"), F.col("window").alias("own"), "items"))
+    hits = (
+        window_probes(docs, lengths, doc_id, text).join(known, ["hash", "length", "own"])
+        .groupBy(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
+        .agg(
+            F.array_sort(F.collect_set(F.struct("pos", "length"))).alias("hits"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        )
+    )
+    same = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))
+    kinds = {f.name: f.dataType for f in hits.schema}
+    return counted.join(hits, same, "left").select(
+        "id", "text_hash", "copies", "n_words",
+        *[F.coalesce(F.col(c), none.cast(kinds[c])).alias(c) for c in ("hits", "items")],
+    )
+
+
 def covered_words(hits: str = "hits") -> Column:
     """How many words lie inside a hit: sorted starts, each adding what the ones before left."""
     return F.expr(
@@ -135,14 +189,13 @@ def find_contamination(
     either table play no part.
 
     The windows are broadcast only if there are at most ``BROADCAST_WINDOWS``, counted first;
-    a larger benchmark goes through a shuffled join on the hash.
+    a larger benchmark goes through a shuffled join (``scan_by_join``).
     """
     windows = benchmark_windows(benchmark, item_id, item_text)
     # At most WINDOW rows: one for each window length that occurs.
     by_length = {r["length"]: r["n"] for r in windows.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    found = scan(
-        docs, windows, sorted(by_length), doc_id, text, sum(by_length.values()) <= BROADCAST_WINDOWS
-    )
+    way = scan if sum(by_length.values()) <= BROADCAST_WINDOWS else scan_by_join
+    found = way(docs, windows, sorted(by_length), doc_id, text)
     n_hit = covered_words()
     return found.withColumn("_copy", F.explode(F.expr("sequence(1L, copies)"))).select(
         F.col("id").alias("doc_id"),
