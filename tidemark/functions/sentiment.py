@@ -51,7 +51,7 @@ def lexicon_label(text: Column, lexicon: Lexicon = Lexicon()) -> Column:
     # The score stands in one place and under no condition, so the text is split once.
     score = F.signum(hits(lexicon.good) - hits(lexicon.bad)).cast("int")
     labels = F.array(F.lit(BAD), F.lit(NEUTRAL), F.lit(GOOD))
-    return F.coalesce(F.element_at(labels, score + 2), F.lit(NEUTRAL))
+    return F.element_at(labels, F.coalesce(score, F.lit(0)) + 2)
 
 
 def normalise_label(answer: Column) -> Column:

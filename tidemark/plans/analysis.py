@@ -62,7 +62,8 @@ def for_target(silver: Silver, preferred: str = PREFERRED_TICKER) -> Silver:
 
     Its name is found first and brought to the driver, one row by its LIMIT, so that the feeds are
     filtered by a literal: every gold window runs within a ticker, and the filter goes below the
-    windows, the aggregates and the joins into the scans. Without prices the feeds are empty.
+    windows, aggregates and joins, but not below the choice of the first write of a key, which is
+    made among all tickers. Without prices the feeds are empty.
     """
     found = target_ticker(silver.stocks, preferred).first()
     name = F.lit(found["ticket"] if found else None)
