@@ -155,3 +155,40 @@ def test_pages_are_the_same_as_batch_and_stream(spark, tmp_path):
     land("C%23", "1.json", b"late")
     assert streamed() == batch() and batch()[-1][:3] == ("C#", "1.json", "late")
     assert pages.landed_pages(str(tmp_path / "nowhere"), "company") == []
+
+
+def test_small_pages_share_partitions_and_fail_alone(spark, tmp_path, monkeypatch):
+    lead_workers_here(spark)
+    pages.register(spark)
+    folder = tmp_path / "landed"
+    for company in "AB":
+        (folder / f"company={company}").mkdir(parents=True)
+        for i in range(150):
+            (folder / f"company={company}" / f"{i}.json").write_bytes(b"\xff" if i == 70 else f"{company}{i}".encode())
+    read = spark.read.format("landed_pages").option("path", str(folder)).option("key", "company").load()
+    assert read.rdd.getNumPartitions() == 1
+    want = {(c, f"{i}.json", None if i == 70 else f"{c}{i}", "UnicodeDecodeError" if i == 70 else None) for c in "AB" for i in range(150)}
+    assert {tuple(r)[:4] for r in read.collect()} == want and read.count() == 300
+    # A large page is not split, and takes no small ones along beyond the limit.
+    found = [pages.Page(i, "company=A", f"{i}", size) for i, size in enumerate((1, 2, pages.PARTITION_BYTES * 2, 3))]
+    parts = pages.partitioned(found)
+    assert [[p.name for p in part.pages] for part in parts] == [["0", "1"], ["2"], ["3"]]
+    assert pages.partitioned([]) == []
+
+
+def test_pages_are_landed_by_the_source(spark, tmp_path):
+    lead_workers_here(spark)
+    pages.register(spark)
+
+    def source(way):
+        return way.format("landed_pages").option("path", str(tmp_path / "landed")).option("key", "company")
+
+    def land(*rows):
+        source(spark.createDataFrame(rows, "entity string, page string, payload binary").write).mode("append").save()
+
+    land(("C#/é", "1", b"a"), ("C#/é", "2", b"\xff"), (None, "1", "é".encode()), ("", "1", b""))
+    land(("C#/é", "1", b"again"))
+    found = {tuple(r)[:4] for r in source(spark.read).load().collect()}
+    assert found == {("C#/é", "1", "again", None), ("C#/é", "2", None, "UnicodeDecodeError"), (None, "1", "é", None), ("", "1", "", None)}
+    names = [p.name for p in (tmp_path / "landed").rglob("*") if p.is_file()]
+    assert sorted(names) == ["1", "1", "1", "2"]
