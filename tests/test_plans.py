@@ -120,3 +120,20 @@ def test_no_rank_over_raw_quotes(spark):
 def test_each_payload_is_parsed_once(spark):
     plan = plan_of(spark, "payload_reject_split")
     assert plan.count("from_json") == 1 and plan.count("FileScan") == 1
+
+
+def test_insider_names_are_loaded_once_and_not_copied(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = REGISTRY["insider_distinct_rolling"](spark, str(FOLDER))
+        frame.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    final = re.sub(r"== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", plan, flags=re.S)
+    # What is loaded is shuffled once; a stage that is read again is not printed again.
+    assert len(re.findall(r"Window \[row_number[^\n]*AS _arrival", final)) <= 1
+    # Days are told from pairs of days: no copy of a name is made for each frame that holds it.
+    made = re.findall(r"Generate explode\(sequence[^\n]*", final)
+    assert len(made) == 1 and not re.search("name#|_value#", made[0])

@@ -850,10 +850,13 @@ def event_study(t):
 def insider_distinct_rolling(t):
     """Different insiders of the last five activity days: exact, and whether the merged daily sketches
     come within their bound."""
-    trades = _silver(t).insider
     names = {"key": "symbol", "date": "transaction_date"}
-    exact = sketches.exact_over_frames(trades, **names, value="name")
-    merged = sketches.merged_over_frames(sketches.daily_sketches(trades, **names, value="name"), **names)
+    # Both ways read the same shuffled rows, so that the trades are loaded once. The join at the end takes no
+    # trade without ticker or day; left out here, they are out of both ways alike.
+    dated = _silver(t).insider.filter("symbol IS NOT NULL AND transaction_date IS NOT NULL")
+    said = dated.select(*names.values(), "name").distinct()
+    exact = sketches.exact_over_frames(said, **names, value="name")
+    merged = sketches.merged_over_frames(sketches.daily_sketches(said, **names, value="name"), **names)
     off = F.abs(F.col("estimate") - F.col("distinct_values"))
     close = off <= F.greatest(F.ceil(F.col("distinct_values") * sketches.BOUND), F.lit(1))
     return exact.join(merged, list(INSIDER_KEY)).select(*INSIDER_KEY, "distinct_values", close.alias("estimate_within_bound"))

@@ -34,20 +34,42 @@ def merged_over_frames(sketches: DataFrame, *, key: str, date: str, rows: int =
 
 
 def exact_over_frames(df: DataFrame, *, key: str, date: str, value: str, rows: int = FRAME_ROWS) -> DataFrame:
-    """``key``, ``date``, ``distinct_values``: the exact count. Each value of a day goes to the ``rows`` days whose
-    frames hold it, so what is shuffled is ``rows`` times the different values of a day."""
+    """``key``, ``date``, ``distinct_values``: the exact count.
+
+    The values of a frame's days are added up, less those said again: two days of a frame that say a value,
+    and no day between them, count it once too often. So each value of a day is shuffled as often as it is
+    told from others and no more. A day is looked up for pairs of days, not for values: of those only the pairs
+    stay that are no further apart than the longest frame. Each step over values reads the same distinct rows.
+    """
+    by_date = f"PARTITION BY `{key}` ORDER BY `{date}` ASC NULLS LAST"
+    frame = f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW"
     query = f"""
-        WITH days AS (
-            SELECT `{key}`, `{date}`, row_number() OVER (PARTITION BY `{key}` ORDER BY `{date}` ASC NULLS LAST) AS _number
-            FROM (SELECT DISTINCT `{key}`, `{date}` FROM {{df}})),
+        WITH seen AS (SELECT DISTINCT `{key}`, `{date}`, `{value}` FROM {{df}}),
+        counted AS (SELECT `{key}`, `{date}`, count(`{value}`) AS _values FROM seen GROUP BY `{key}`, `{date}`),
+        days AS (
+            SELECT `{key}`, `{date}`, _values, row_number() OVER ({by_date}) AS _number,
+                   sum(_values) OVER ({by_date} {frame}) AS _in_frame,
+                   datediff(`{date}`, min(`{date}`) OVER ({by_date} {frame})) AS _span
+            FROM counted),
+        speaking AS (SELECT * FROM days WHERE _values > 0),
         said AS (
-            SELECT d.`{key}`, d._number, v._value
-            FROM (SELECT DISTINCT `{key}`, `{date}`, `{value}` AS _value FROM {{df}} WHERE `{value}` IS NOT NULL) v
-            JOIN days d ON v.`{key}` <=> d.`{key}` AND v.`{date}` <=> d.`{date}`),
-        counted AS (
-            SELECT `{key}`, _to, count(DISTINCT _value) AS distinct_values
-            FROM (SELECT `{key}`, _value, explode(sequence(_number, _number + {rows - 1})) AS _to FROM said)
+            SELECT `{key}`, `{date}`, `{value}`,
+                   lag(`{date}`) OVER (PARTITION BY `{key}`, `{value}` ORDER BY `{date}` ASC NULLS LAST) AS _before
+            FROM seen),
+        again AS (
+            SELECT `{key}`, `{date}`, _before, count(`{value}`) AS _values
+            FROM said
+            WHERE _before IS NOT NULL
+                  AND (`{date}` IS NULL OR datediff(`{date}`, _before) <= (SELECT max(_span) FROM speaking))
+            GROUP BY `{key}`, `{date}`, _before),
+        twice AS (
+            SELECT `{key}`, _to, sum(_values) AS _values
+            FROM (SELECT a.`{key}`, a._values, explode(sequence(d._number, b._number + {rows - 1})) AS _to
+                  FROM again a
+                  JOIN speaking d ON a.`{key}` <=> d.`{key}` AND a.`{date}` <=> d.`{date}`
+                  JOIN speaking b ON a.`{key}` <=> b.`{key}` AND a._before <=> b.`{date}`
+                  WHERE d._number < b._number + {rows})
             GROUP BY `{key}`, _to)
-        SELECT d.`{key}`, d.`{date}`, coalesce(c.distinct_values, 0L) AS distinct_values
-        FROM days d LEFT JOIN counted c ON d.`{key}` <=> c.`{key}` AND d._number = c._to"""
+        SELECT d.`{key}`, d.`{date}`, d._in_frame - coalesce(t._values, 0L) AS distinct_values
+        FROM days d LEFT JOIN twice t ON d.`{key}` <=> t.`{key}` AND d._number = t._to"""
     return df.sparkSession.sql(query, df=df)
