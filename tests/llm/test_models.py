@@ -207,6 +207,29 @@ def test_tree_against_a_plain_one(spark, rows, monkeypatch):
         assert got == pytest.approx(want, rel=1e-4)
 
 
+def test_no_context_is_dropped_when_the_tree_comes_in_parts(spark, rows, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "DIVERGENCE_BITS", 3.0)
+    rng = np.random.default_rng(7)
+    texts = [" ".join("".join(rng.choice(list("abcd\xe9"), rng.integers(1, 6))) for _ in range(60)) for _ in range(30)]
+    docs = rows([*((i, t) for i, t in enumerate([*texts, "", None])), (0, texts[0])], "doc_id long, text string")
+    whole = suffix_tree.learn_tree(docs)
+    room = len(whole.keys) // 4
+    parts = list(suffix_tree.learn_parts(docs, contexts=room))
+    assert len(parts) > 3 and max(len(p.keys) for p in parts) <= room
+    assert set(np.concatenate([p.keys for p in parts])) == set(whole.keys)
+    assert [p.low for p in parts] == [0, *(p.high for p in parts[:-1])] and parts[-1].high == suffix_tree.ENDINGS
+    found = suffix_tree.score_texts(docs, docs, contexts=room).orderBy("doc_id").collect()
+    want = suffix_tree.score_texts(docs, docs).orderBy("doc_id").collect()
+    assert len(found) == len(want) == 33 and [tuple(r)[:4] for r in found] == [tuple(r)[:4] for r in want]
+    assert [r.score for r in found] == pytest.approx([r.score for r in want], rel=1e-9)
+    assert [r.base_score for r in found] == pytest.approx([r.base_score for r in want], rel=1e-9)
+    # A run takes one ending at least, and all endings are in some run.
+    counts = np.zeros(suffix_tree.ENDINGS, dtype=np.int64)
+    counts[[5, 6, 9]] = 4, 1, 9
+    assert suffix_tree.shares(counts, 5) == [(0, 9), (9, suffix_tree.ENDINGS)]
+    assert suffix_tree.shares(counts, 0) == [(0, 6), (6, 9), (9, suffix_tree.ENDINGS)]
+
+
 def test_distributions_sum_to_one(spark, rows):
     tree = suffix_tree.learn_tree(rows([("some words and some more words " * 20,)], "text string"))
     table = 10.0 ** tree.log10.astype(float)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from tidemark.llm.common import cut
 
 #: Longest context, in symbols.
 DEPTH = 5
-#: Contexts that the tree may hold: what is broadcast is this many rows of 64 numbers at most.
+#: Contexts of a part of the tree: what is broadcast at once is about this many rows of 64 numbers at most.
 CONTEXTS = 1 << 18
 #: A context stays if it tells its next symbols apart from its suffix's by so many bits in all.
 DIVERGENCE_BITS = 24.0
@@ -29,6 +30,9 @@ CHUNK = 1 << 18
 BITS = 6
 SYMBOLS = 1 << BITS
 ESCAPE, END = SYMBOLS - 2, SYMBOLS - 1
+#: Last symbols that tell which part of the tree a position belongs to. So many have 4,161 contexts at most.
+NEAR = 3
+ENDINGS = 1 << BITS * NEAR
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -211,14 +215,22 @@ def divergences(following: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SuffixTree:
-    """Contexts (sorted keys) and, for each, log10 of every next symbol's probability."""
+    """Contexts (sorted keys) and, for each, log10 of every next symbol's probability.
+
+    A part of a tree scores the positions whose last ``NEAR`` symbols, as a number, are from
+    ``low`` on and below ``high``; it holds all contexts that end so, and the shorter ones."""
 
     keys: np.ndarray
     log10: np.ndarray
     alphabet: Alphabet
+    low: int = 0
+    high: int = ENDINGS
 
     @classmethod
-    def of(cls, contexts: np.ndarray, symbols: np.ndarray, counts: np.ndarray, alphabet: Alphabet) -> SuffixTree:
+    def of(
+        cls, contexts: np.ndarray, symbols: np.ndarray, counts: np.ndarray, alphabet: Alphabet,
+        low: int = 0, high: int = ENDINGS,
+    ) -> SuffixTree:
         """Smooth from the root down: a context's counts, then its suffix's distribution with a
         weight of one for each different symbol seen."""
         keys = np.unique(np.append(contexts, 1))
@@ -231,14 +243,14 @@ class SuffixTree:
             if depth == 0:
                 table[rows] = (table[rows] + 0.5) / (table[rows].sum() + 0.5 * SYMBOLS)
                 continue
-            low = (1 << BITS * (depth - 1)) - 1
-            parent = np.searchsorted(keys, (keys[rows] & low) | (low + 1))
+            mask = (1 << BITS * (depth - 1)) - 1
+            parent = np.searchsorted(keys, (keys[rows] & mask) | (mask + 1))
             weight = np.maximum((table[rows] > 0).sum(axis=1, keepdims=True), 1)
             total = table[rows].sum(axis=1, keepdims=True)
             table[rows] = (table[rows] + weight * table[parent]) / (total + weight)
         if alphabet.escaped:
             table[:, ESCAPE] /= alphabet.escaped
-        return cls(keys, np.log10(table).astype(np.float32), alphabet)
+        return cls(keys, np.log10(table).astype(np.float32), alphabet, low, high)
 
     def lookup(self) -> Lookup:
         return Lookup(self)
@@ -251,15 +263,13 @@ class Lookup:
     from a hash table, tried only where the next shorter one is a state.
     """
 
-    NEAR = 3
-
     def __init__(self, tree: SuffixTree):
         self.tree = tree
         keys = tree.keys
-        self.near = np.zeros(1 << BITS * self.NEAR, dtype=np.int32)
+        self.near = np.zeros(ENDINGS, dtype=np.int32)
         self.deeper = np.zeros(len(self.near), dtype=bool)
         codes = np.arange(len(self.near), dtype=np.int64)
-        for depth in range(min(self.NEAR, DEPTH) + 1):
+        for depth in range(min(NEAR, DEPTH) + 1):
             wanted = (codes & ((1 << BITS * depth) - 1)) | (1 << BITS * depth)
             at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
             there = keys[at] == wanted
@@ -299,10 +309,10 @@ class Lookup:
 
     def log10_of(self, packed: np.ndarray) -> np.ndarray:
         context = packed >> BITS
-        near = context & ((1 << BITS * self.NEAR) - 1)
+        near = context & (ENDINGS - 1)
         state = self.near[near].astype(np.int64)
         active = np.flatnonzero(self.deeper[near])
-        for depth in range(self.NEAR + 1, DEPTH + 1):
+        for depth in range(NEAR + 1, DEPTH + 1):
             keys = (context[active] & ((1 << BITS * depth) - 1)) | (1 << BITS * depth)
             found = self._find(keys)
             there = found >= 0
@@ -311,7 +321,7 @@ class Lookup:
         return self.tree.log10[state, packed & (SYMBOLS - 1)]
 
     def scores(self, texts: list[list[bytes]]) -> np.ndarray:
-        """log10 of the probability of each text."""
+        """log10 of the probability of each text, or what the tree's part adds to it."""
         result = np.zeros(len(texts))
         stream, lengths = symbol_stream(texts, self.tree.alphabet)
         owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths + DEPTH + 1)
@@ -319,50 +329,71 @@ class Lookup:
         for s in range(0, len(keep), CHUNK):
             packed = grams(stream[s : s + CHUNK + DEPTH])[keep[s : s + CHUNK]]
             own = owner[s : s + len(keep[s : s + CHUNK])][keep[s : s + CHUNK]]
+            if self.tree.high - self.tree.low < ENDINGS:
+                ending = (packed >> BITS) & (ENDINGS - 1)
+                inside = (ending >= self.tree.low) & (ending < self.tree.high)
+                packed, own = packed[inside], own[inside]
             result += np.bincount(own, weights=self.log10_of(packed), minlength=len(texts))
         return result
 
 
-def learn_tree(training: DataFrame, text: str = "text", contexts: int = CONTEXTS) -> SuffixTree:
-    """A tree from the counts of all training texts.
+def with_suffixes(contexts: DataFrame) -> DataFrame:
+    """(context): those given by (context, depth), all their suffixes and the root, each once."""
+    chain = f"transform(sequence(0, depth), d -> (context & (shiftleft(1L, {BITS} * d) - 1)) | shiftleft(1L, {BITS} * d))"
+    root = contexts.sparkSession.range(1, 2).toDF("context")
+    return contexts.select(F.explode(F.expr(chain)).alias("context")).unionByName(root).distinct()
+
+
+def shares(counts: np.ndarray, room: int) -> list[tuple[int, int]]:
+    """Runs (low, high) of all endings in order: as many as ``room`` contexts allow, one at least."""
+    runs, low, held = [], 0, 0
+    for ending in np.flatnonzero(counts).tolist():
+        if held and held + counts[ending] > room:
+            runs.append((low, ending))
+            low, held = ending, 0
+        held += int(counts[ending])
+    return [*runs, (low, ENDINGS)]
+
+
+def learn_parts(training: DataFrame, text: str = "text", contexts: int | None = CONTEXTS) -> Iterator[SuffixTree]:
+    """A tree from the counts of all training texts, in parts of ``contexts`` contexts.
 
     Symbols are the bytes of the lower-cased words, a space after each word, and an end. A
     context of up to ``DEPTH`` symbols stays if its next symbols diverge from those of its
-    suffix by ``DIVERGENCE_BITS`` in all, and it occurs once for each ``BITS`` of them; if more than ``contexts`` do, those of most bits stay.
-    Suffixes of what stays come along. The counting and the tests run on Spark over all texts;
-    the driver gets the contexts that stay and their counts, bounded by ``contexts`` rows of 64.
-    No training text leaves a tree that spreads probability evenly.
+    suffix by ``DIVERGENCE_BITS`` in all, and it occurs once for each ``BITS`` of them.
+    Suffixes of what stays come along. All that stay are in the tree: if they are more than
+    ``contexts``, each part has those of a run of endings, and the parts' scores add up to the
+    tree's. The counting and the tests run on Spark over all texts; the driver gets one part's
+    contexts and their counts at a time, bounded by ``contexts`` rows of 64, and before that
+    how many contexts have each of the ``ENDINGS``. No training text leaves a tree that
+    spreads probability evenly.
     """
     alphabet = Alphabet.of(byte_counts(training, text))
     following = cut(next_counts(cut(gram_counts(training, text, alphabet))))
-    best = (
-        divergences(following).filter(F.col("gain") >= DIVERGENCE_BITS)
-        .orderBy(F.desc("gain"), "context").limit(contexts).select("context").toArrow()
-    )
-    kept = closed(best.column(0).to_numpy(), contexts)
-    frame = training.sparkSession.createDataFrame(pa.table({"context": kept}))
-    rows = following.join(F.broadcast(frame), "context").select("context", "symbol", "n").toArrow()
-    return SuffixTree.of(*(rows.column(i).to_numpy() for i in range(3)), alphabet)
-
-
-def closed(ranked: np.ndarray, limit: int) -> np.ndarray:
-    """The first of ``ranked`` with all their suffixes, ``limit`` at most, and the root."""
-    kept = {1}
-    for key in ranked.tolist():
-        chain = []
-        depth = (key.bit_length() - 1) // BITS
-        while key not in kept:
-            chain.append(key)
-            depth -= 1
-            key = (key & ((1 << BITS * depth) - 1)) | (1 << BITS * depth)
-        if len(kept) + len(chain) > limit:
-            break
-        kept.update(chain)
-    return np.array(sorted(kept), dtype=np.int64)
+    passed = divergences(following).filter(F.col("gain") >= DIVERGENCE_BITS).select("context", "depth")
+    kept = cut(with_suffixes(passed))
+    ending = F.expr(f"if(context < {ENDINGS}, null, context & {ENDINGS - 1})")
+    found = kept.groupBy(ending.alias("ending")).count().toArrow().to_pandas()
+    short = found["ending"].isna()
+    counts = np.zeros(ENDINGS, dtype=np.int64)
+    counts[found["ending"][~short].astype(np.int64)] = found["count"][~short]
+    top = int(found["count"][short].sum())
+    whole = contexts is None or top + counts.sum() <= contexts
+    for low, high in [(0, ENDINGS)] if whole else shares(counts, contexts - top):
+        part = kept if whole else kept.filter(
+            (F.col("context") < ENDINGS) | F.expr(f"(context & {ENDINGS - 1}) >= {low} and (context & {ENDINGS - 1}) < {high}")
+        )
+        rows = following.join(F.broadcast(part), "context").select("context", "symbol", "n").toArrow()
+        yield SuffixTree.of(*(rows.column(i).to_numpy() for i in range(3)), alphabet, low, high)
+
+
+def learn_tree(training: DataFrame, text: str = "text") -> SuffixTree:
+    """All parts in one, however large."""
+    return next(learn_parts(training, text, None))
 
 
 def score_texts(
-    docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: str = "text", contexts: int = CONTEXTS
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -375,9 +406,11 @@ def score_texts(
     Words with at least 1 / ``COMMON`` of the tokens, so at most that many, are looked up in
     the task; the rest go through a join on the word. Each text is read once here: its row with
     the parts that are known goes through the same join under a name that no word can have.
+    A tree of more than ``contexts`` is broadcast in parts, and for each part after the first
+    the texts are read once more: memory is bounded by one part, and no context is dropped.
     """
     spark = docs.sparkSession
-    tree = learn_tree(training, text)
+    shared, *others = [spark.sparkContext.broadcast(part) for part in learn_parts(training, text, contexts)]
     counted = cut(word_counts(training, text))
     ends, (tokens, distinct) = training.count(), counted.agg(F.sum("n"), F.count("*")).first()
     total = (tokens or 0) + ends
@@ -386,7 +419,6 @@ def score_texts(
     common = spark.sparkContext.broadcast(
         {w.as_py(): math.log10((n.as_py() + 1) / size) for w, n in zip(*frequent.columns)}
     )
-    shared = spark.sparkContext.broadcast(tree)
     end_log = math.log10((ends + 1) / size)
 
     names = ["id", "text_hash", "word", "tf", "n_tokens", "n_known", "base", "score"]
@@ -408,23 +440,40 @@ def score_texts(
                     out.extend((id_, h, w, tf, None, 0, 0.0, None) for w, tf in rare.items())
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    parts = docs.select(
+    def score_more(part: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lookup = part.value.lookup()
+            for batch in batches:
+                for first, texts in text_groups(batch.column(2)):
+                    ids = batch.column(0).slice(first, len(texts)).to_pylist()
+                    hashes = batch.column(1).slice(first, len(texts)).to_pylist()
+                    out = [
+                        (id_, h, b" %d %d" % (id_ or 0, h), 0, None, 0, 0.0, found)
+                        for id_, h, found in zip(ids, hashes, lookup.scores(texts).tolist())
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out), kinds)], names=names)
+
+        return score
+
+    read = docs.select(
         F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")
-    ).mapInArrow(
-        score,
-        "id long, text_hash long, word binary, tf long, n_tokens long, n_known long, base double, score double",
     )
+    schema = "id long, text_hash long, word binary, tf long, n_tokens long, n_known long, base double, score double"
+    parts = read.mapInArrow(score, schema)
+    for other in others:
+        parts = parts.unionByName(read.mapInArrow(score_more(other), schema))
     rare_counts = counted.filter(F.col("n") * COMMON < total)
     c = F.coalesce(F.col("n"), F.lit(0))
     summed = (
         parts.join(rare_counts, "word", "left")
         .groupBy("id", "text_hash")
         .agg(
-            F.count("score").alias("copies"),
+            F.count("n_tokens").alias("copies"),
             F.max("n_tokens").alias("n_tokens"),
             F.sum(F.col("n_known") + F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"),
             F.sum(F.col("base") + F.col("tf") * F.log10((c + 1) / F.lit(float(size)))).alias("base"),
-            F.max("score").alias("score"),
+            F.max(F.when(F.col("n_tokens").isNotNull(), F.col("score"))).alias("score"),
+            F.coalesce(F.sum(F.when(F.col("n_tokens").isNull(), F.col("score"))), F.lit(0.0)).alias("more"),
         )
     )
     return summed.withColumn("_copy", F.explode(F.expr("sequence(1L, copies)"))).select(
@@ -433,5 +482,5 @@ def score_texts(
         F.expr("known div copies").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("copies")).alias("base_score"),
-        "score",
+        (F.col("score") + F.col("more") / F.col("copies")).alias("score"),
     )
